@@ -1,0 +1,39 @@
+"""Order-insensitive comparison of a Spark result with DuckDB running the oracle."""
+
+import decimal
+import math
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def connect(sf_dir):
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return con
+
+
+def _value(v):
+    if isinstance(v, float):
+        return "nan" if math.isnan(v) else repr(v)
+    if isinstance(v, decimal.Decimal):
+        return f"{v:f}"
+    return repr(v)
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(_value(row[i]) for i in order) for row in rows)
+
+
+def compare(df, con, sql):
+    """Return (columns equal, Spark rows, DuckDB rows) with columns sorted by name."""
+    found = con.execute(sql)
+    names = [d[0] for d in found.description]
+    expected = _rows(names, found.fetchall())
+    actual = _rows(df.columns, [tuple(r) for r in df.collect()])
+    return sorted(df.columns) == sorted(names), actual, expected
