@@ -25,8 +25,8 @@ feed_all AS (
          CAST(l_extendedprice AS DECIMAL(15,4)) AS amount,
          l_quantity + CASE WHEN l_linenumber = 2 THEN 0.5 ELSE 0.0 END AS quantity,
          CAST(l_shipdate AS DATE) AS issue_date,
-         CAST(l_shipdate AS DATE)
-           + CASE l_returnflag WHEN 'N' THEN 1 WHEN 'A' THEN 2 ELSE 3 END AS proc_date,
+         CAST(date_trunc('week', CAST(l_shipdate AS DATE)) AS DATE)
+           + CASE l_returnflag WHEN 'N' THEN 8 WHEN 'A' THEN 9 ELSE 10 END AS proc_date,
          CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus <> 'O'
               THEN 'LATE' ELSE 'DAILY' END AS origin,
          l_returnflag, l_linestatus
@@ -57,8 +57,8 @@ totals AS (
 ),
 lake AS (
   SELECT {SOURCE_COLUMNS}, origin FROM feed_all
-  WHERE proc_date <> DATE '2001-08-12' AND day(proc_date) <> 10
-    AND (origin = 'DAILY' OR l_linestatus = 'F')
+  WHERE proc_date <> DATE '2001-08-12' AND day(proc_date) <> 9
+    AND (origin = 'DAILY' OR l_returnflag = 'N' OR l_linestatus = 'F')
 )"""
 
 REPORT = f"""{SOURCES},

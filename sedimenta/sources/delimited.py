@@ -18,6 +18,10 @@ DIALECT = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# What the parser hands over for an empty unquoted field. It only has to differ
+# from every stored text, the quoted empty string above all.
+NULL_FIELD = "\x01null\x01"
+
 
 def read_delimited(
     spark: SparkSession,
@@ -30,5 +34,11 @@ def read_delimited(
     ``multiline`` admits line breaks inside values, at the price of files that
     cannot be split. Attributes cleaned with ``clean_text`` do not need it.
     """
-    options = {**DIALECT, "emptyValue": "", "mode": "FAILFAST", "multiLine": str(multiline)}
+    options = {
+        **DIALECT,
+        "nullValue": NULL_FIELD,
+        "emptyValue": "",
+        "mode": "FAILFAST",
+        "multiLine": str(multiline),
+    }
     return spark.read.schema(schema).options(**options).csv(path)

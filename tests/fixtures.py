@@ -1,0 +1,36 @@
+"""Small hand-made purchase rows."""
+
+import datetime as dt
+from decimal import Decimal
+
+from sedimenta.plans.feed import FEED_SCHEMA, SOURCE_COLUMNS
+from pyspark.sql import types as T
+
+SOURCE_SCHEMA = T.StructType([FEED_SCHEMA[c] for c in SOURCE_COLUMNS])
+TOTALS_SCHEMA = "proc_date date, expected_rows bigint"
+
+BASE = dict(
+    src_order=1, src_line=1, ean="0000000000017", store_tax_id="00000000000001",
+    issue_month="200108", product="red ring", manufacturer="Maker 1", supplier="Acme",
+    supplier_tax_id="7", product_group="SMALL", subclass="10", brand="Brand#1",
+    amount=Decimal("10.5000"), quantity=1.0, issue_date=dt.date(2001, 8, 1),
+    proc_date=dt.date(2001, 8, 2), origin="DAILY",
+)
+
+
+def row(**changes):
+    return {**BASE, **changes}
+
+
+def frame(spark, rows, schema=FEED_SCHEMA):
+    return spark.createDataFrame([tuple(r[f.name] for f in schema.fields) for r in rows], schema)
+
+
+def source(spark, rows):
+    return frame(spark, rows, SOURCE_SCHEMA)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )

@@ -1,0 +1,210 @@
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from sedimenta import purchases as P
+from sedimenta.plans.feed import LAKE_SCHEMA
+from sedimenta.purchases import LAYOUT
+from sedimenta.sinks.delimited import write_delimited
+from sedimenta.sinks.jdbc import column_types, register_jdbc_catalog
+from sedimenta.sinks.partitions import write_partitions
+from sedimenta.session import object_store_options, scratch_path
+from sedimenta.sources.delimited import read_delimited
+from sedimenta.sources.jdbc import JdbcTable, date_predicates
+from sedimenta.sources.lake import lake_schema, read_lake, with_partition_columns
+from sedimenta.specs import LakeLayout
+from tests.fixtures import frame, plan_of, row
+
+FEB, MAR = dt.date(2001, 2, 3), dt.date(2001, 3, 4)
+
+
+def folders(path):
+    return sorted(os.path.relpath(d, path) for d, _, files in os.walk(path)
+                  if any(f.endswith(".parquet") for f in files))
+
+
+def lake_rows(spark, rows):
+    return with_partition_columns(frame(spark, rows), LAYOUT)
+
+
+def test_month_folder_keeps_two_digits(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    write_partitions(lake_rows(spark, [row(proc_date=FEB), row(proc_date=MAR)]), path,
+                     LAYOUT.columns)
+    before = folders(path)
+    assert before == ["proc_year=2001/proc_month=02/proc_date=2001-02-03",
+                      "proc_year=2001/proc_month=03/proc_date=2001-03-04"]
+    stored = read_lake(spark, path, LAKE_SCHEMA)
+    write_partitions(stored.where(F.col("proc_date") == FEB), path, LAYOUT.columns)
+    assert folders(path) == before
+    assert read_lake(spark, path, LAKE_SCHEMA).count() == 2
+
+
+def test_partition_columns_follow_the_layout(spark, tmp_path):
+    layout = LakeLayout(date="data_proc", year="ano", month="mes")
+    path = str(tmp_path / "lake")
+    rows = frame(spark, [row(proc_date=FEB)]).withColumnRenamed("proc_date", "data_proc")
+    write_partitions(with_partition_columns(rows, layout), path, layout.columns)
+    assert folders(path) == ["ano=2001/mes=02/data_proc=2001-02-03"]
+    schema = lake_schema(rows.schema, layout)
+    assert read_lake(spark, path, schema).first().mes == "02"
+
+
+def test_merge_in_place_replaces_one_date(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    write_partitions(lake_rows(spark, [row(src_order=1, proc_date=FEB),
+                                       row(src_order=2, proc_date=MAR)]), path, LAYOUT.columns)
+    stored = read_lake(spark, path, LAKE_SCHEMA)
+    more = lake_rows(spark, [row(src_order=3, proc_date=FEB)])
+    write_partitions(stored.where(F.col("proc_date") == FEB).unionByName(more), path,
+                     LAYOUT.columns)
+    assert sorted(r.src_order for r in read_lake(spark, path, LAKE_SCHEMA).collect()) == [1, 2, 3]
+
+
+def test_empty_frame_touches_nothing(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    write_partitions(lake_rows(spark, [row()]), path, LAYOUT.columns)
+    before = folders(path)
+    write_partitions(lake_rows(spark, []), path, LAYOUT.columns)
+    assert folders(path) == before
+    assert read_lake(spark, path, LAKE_SCHEMA).count() == 1
+
+
+def test_stale_partitions(spark, tmp_path):
+    path = str(tmp_path / "years")
+    years = spark.createDataFrame([(1, 1999), (2, 2000)], "v int, proc_year int")
+    write_partitions(years, path, ["proc_year"])
+    write_partitions(years.where("proc_year = 2000"), path, ["proc_year"])
+    assert folders(path) == ["proc_year=1999", "proc_year=2000"]
+    write_partitions(years.where("proc_year = 2000"), path, ["proc_year"], prune_stale=True)
+    assert folders(path) == ["proc_year=2000"]
+
+
+def test_heavy_date_is_split(spark, tmp_path):
+    """A date above the advisory size is written by more than one task."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "64k")
+    try:
+        path = str(tmp_path / "heavy")
+        rows = spark.range(0, 60000, 1, 8).select(
+            F.md5(F.col("id").cast("string")).alias("x"), F.lit(FEB).alias("proc_date")
+        )
+        write_partitions(rows, path, ["proc_date"])
+        files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+        assert len(files) > 1
+        assert spark.read.parquet(path).count() == 60000
+    finally:
+        spark.conf.unset(key)
+
+
+def test_lake_scan_is_pruned(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    write_partitions(lake_rows(spark, [row(proc_date=FEB), row(proc_date=MAR)]), path,
+                     LAYOUT.columns)
+    df = (read_lake(spark, path, LAKE_SCHEMA)
+          .where(F.col("proc_date").isin([FEB])).where("issue_date >= DATE'2000-01-01'")
+          .select("ean"))
+    plan = plan_of(df)
+    filters = next(line for line in plan.splitlines() if line.startswith("PartitionFilters"))
+    assert "proc_date" in filters
+    assert "GreaterThanOrEqual(issue_date,2000-01-01)" in plan
+    assert "ReadSchema: struct<ean:string,issue_date:date>" in plan
+
+
+def test_missing_lake_is_empty_but_errors_are_raised(spark, tmp_path):
+    assert read_lake(spark, str(tmp_path / "none"), LAKE_SCHEMA).count() == 0
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "x.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        read_lake(spark, str(broken), LAKE_SCHEMA).count()
+
+
+def test_delimited_round_trip(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    schema = "id int, x string, d date, n decimal(15,4)"
+    rows = [(1, None, FEB, None), (2, "x;y", None, None), (3, 'he "q"', FEB, None),
+            (4, "", None, None), (5, "  blanks ", None, None), (6, "back\\slash", None, None),
+            (7, '"', None, None), (8, "ção", None, None)]
+    df = spark.createDataFrame(rows, schema)
+    write_delimited(df, path)
+    assert sorted(read_delimited(spark, path, schema).collect()) == sorted(df.collect())
+
+
+def test_delimited_line_breaks_need_multiline(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    df = spark.createDataFrame([(1, "a\nb")], "id int, x string")
+    write_delimited(df, path)
+    assert read_delimited(spark, path, "id int, x string", multiline=True).collect() == df.collect()
+
+
+def test_delimited_bad_row_is_an_error(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text("x;y\n")
+    with pytest.raises(Exception):
+        read_delimited(spark, str(path), "id int, x string").collect()
+
+
+def test_jdbc_predicates_cover_each_date_once():
+    assert date_predicates("d", [MAR, FEB, FEB]) == [
+        "d = DATE '2001-02-03'", "d = DATE '2001-03-04'"
+    ]
+    assert date_predicates("d", [FEB], "id", 2) == [
+        "d = DATE '2001-02-03' AND (ABS(MOD(id, 2)) = 0 OR id IS NULL)",
+        "d = DATE '2001-02-03' AND ABS(MOD(id, 2)) = 1",
+    ]
+
+
+@pytest.mark.parametrize("splits", [1, 3])
+def test_jdbc_predicates_partition_the_rows(spark, splits):
+    rows = [(d, i) for d in (FEB, MAR) for i in (-4, -1, 0, 1, 2, 7, None)]
+    df = spark.createDataFrame(rows, "d date, id int")
+    parts = [df.where(p) for p in date_predicates("d", [FEB, MAR], "id", splits)]
+    assert sum(p.count() for p in parts) == len(rows)
+
+
+def test_credentials_are_not_shown():
+    table = JdbcTable("jdbc:x", "t", {"user": "u", "password": "secret"})
+    assert "secret" not in repr(table)
+
+
+def test_jdbc_declared_types():
+    assert column_types(P.DIM_BRAND.ddl()) == (
+        "brand_id VARCHAR(50), brand_name VARCHAR(255), issue_month DATE, updated_at TIMESTAMP"
+    )
+
+
+def test_jdbc_catalog_settings(spark):
+    register_jdbc_catalog(spark, "reports", "jdbc:x", {"driver": "d"})
+    assert spark.conf.get("spark.sql.catalog.reports.url") == "jdbc:x"
+    assert spark.conf.get("spark.sql.catalog.reports.driver") == "d"
+    assert spark.conf.get("spark.sql.catalog.reports").endswith("JDBCTableCatalog")
+
+
+def test_object_store_options():
+    options = object_store_options("store:9000", "a", "b", region="r")
+    assert options["spark.hadoop.fs.s3a.endpoint"] == "store:9000"
+    assert options["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert options["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+    assert options["spark.hadoop.fs.s3a.endpoint.region"] == "r"
+
+
+def test_scratch_follows_the_checkpoint_setting(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(base)
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Cluster:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "spark://host"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Cluster(), "x")
