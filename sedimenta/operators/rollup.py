@@ -28,15 +28,22 @@ def representative(df: DataFrame, keys: list[str], column: str) -> DataFrame:
 
 def monthly_rollup(df: DataFrame, spec: RollupSpec = ROLLUP, as_of=None, run_ts=None,
                    stamp: bool = True, year_from: str = "processing",
-                   strict: bool = True) -> DataFrame:
+                   strict: bool = True, prune_by: str | None = None) -> DataFrame:
     """Sums per key and month over the rolling window.
 
     Grouping uses raw values: '1' and '01' stay two rows although both are
     emitted as the same padded id. The year key is the processing year of the
     lake folder; with ``year_from='issue'`` it is the year of the event date, so
     a month processed across New Year is one row.
+
+    ``prune_by`` names the processing date. Where nothing is processed before it
+    is issued, the window holds for that date too, and lake folders before it are
+    not listed or opened at all. It is off by default because it would lose rows
+    where that does not hold.
     """
     rows = rolling_window(df, spec.event_date, as_of, spec.window_months)
+    if prune_by is not None:
+        rows = rolling_window(rows, prune_by, as_of, spec.window_months)
     if year_from == "issue":
         rows = rows.withColumn(spec.year_key, F.year(spec.event_date))
     elif year_from != "processing":

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.purchases import DAILY, LATE, LAYOUT
+from sedimenta.session import scratch_path
 from sedimenta.sources.lake import lake_schema, with_partition_columns
+from sedimenta.sources.spread import spread
 
 AS_OF = dt.date(2001, 8, 15)
 
@@ -57,7 +59,10 @@ def _text(column: str) -> Column:
 
 def feed_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every purchase line, with the flags the other views are made of."""
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lineitem = spread(
+        spark.read.parquet(f"{sf_dir}/lineitem.parquet"),
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+    )
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
@@ -79,7 +84,7 @@ def feed_all(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_linenumber").alias("src_line"),
             F.lpad(_text("l_partkey"), 13, "0").alias("ean"),
             F.lpad(_text("o_custkey"), 14, "0").alias("store_tax_id"),
-            F.date_format(shipped, "yyyyMM").alias("issue_month"),
+            (F.year(shipped) * 100 + F.month(shipped)).cast("string").alias("issue_month"),
             F.when(F.col("p_type") == "PROMO", F.concat("p_name", F.lit("; x")))
              .otherwise(F.col("p_name")).alias("product"),
             F.concat(F.lit("Maker "), F.substring("p_brand", 7, 1)).alias("manufacturer"),
@@ -111,13 +116,19 @@ def feed_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def daily_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as a written table, for runs that read it many times."""
     feed = feed_all(spark, sf_dir)
+    path = scratch_path(spark, "feed")
+    feed.write.parquet(path)
+    return spark.read.schema(feed.schema).parquet(path)
+
+
+def daily_source(feed: DataFrame) -> DataFrame:
     return feed.where("at_source").where(F.col("origin") == DAILY).select(*SOURCE_COLUMNS)
 
 
-def late_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = feed_all(spark, sf_dir)
+def late_source(feed: DataFrame) -> DataFrame:
     return (
         feed.where("at_source").where(F.col("origin") == LATE)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
@@ -125,23 +136,24 @@ def late_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def totals(feed: DataFrame) -> DataFrame:
     """Announced counts, one row per date and origin, plus one date nobody has."""
-    feed = feed_all(spark, sf_dir).where("at_source")
-    counted = feed.groupBy("proc_date", "origin").agg(F.sum("copies").alias("expected_rows"))
-    extra = spark.range(1).select(
+    counted = (
+        feed.where("at_source").groupBy("proc_date", "origin")
+        .agg(F.sum("copies").alias("expected_rows"))
+    )
+    extra = feed.sparkSession.range(1).select(
         F.lit(MISSING_AT_SOURCE).alias("proc_date"),
         F.lit(ANNOUNCED_ROWS).cast("bigint").alias("expected_rows"),
     )
     return counted.select("proc_date", "expected_rows").unionByName(extra)
 
 
-def lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lake(feed: DataFrame) -> DataFrame:
     """What earlier runs have stored."""
-    return with_partition_columns(
-        feed_all(spark, sf_dir).where("in_lake").select(*COLUMNS), LAYOUT
-    )
+    return with_partition_columns(feed.where("in_lake").select(*COLUMNS), LAYOUT)
 
 
-def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_partition_columns(feed_all(spark, sf_dir).select(*COLUMNS), LAYOUT)
+def all_rows(feed: DataFrame) -> DataFrame:
+    """Every line of the feed as lake rows."""
+    return with_partition_columns(feed.select(*COLUMNS), LAYOUT)

@@ -43,6 +43,7 @@ class Settings:
     recent_days: int = RECENT_DAYS
     reread_daily: bool = False
     prune_stale: bool = False
+    processing_follows_issue: bool = False
     table_format: str | None = "parquet"
 
 
@@ -81,7 +82,10 @@ def refresh_silver(spark: SparkSession, settings: Settings) -> None:
     window, so no further exchange is made for the write.
     """
     bronze = read_lake(spark, settings.bronze_path, settings.bronze_schema)
-    rollup = monthly_rollup(bronze, settings.rollup, settings.as_of, settings.run_ts)
+    rollup = monthly_rollup(
+        bronze, settings.rollup, settings.as_of, settings.run_ts,
+        prune_by=settings.layout.date if settings.processing_follows_issue else None,
+    )
     write_partitions(rollup, settings.silver_path, [settings.rollup.year_key],
                      cluster=False, prune_stale=settings.prune_stale)
 

@@ -27,7 +27,7 @@ RUN_TS = dt.datetime(2001, 8, 15, 3, 0, 0)
 
 
 def silver(spark: SparkSession, sf_dir: str, as_of: dt.date = feed.AS_OF) -> DataFrame:
-    return rollup.monthly_rollup(feed.lake_rows(spark, sf_dir), as_of=as_of, stamp=False)
+    return rollup.monthly_rollup(feed.all_rows(feed.feed_all(spark, sf_dir)), as_of=as_of, stamp=False)
 
 
 def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,12 +50,12 @@ def monthly_rollup(spark, sf_dir):
 
 
 def rolling_window_filter(spark, sf_dir):
-    rows = feed.lake_rows(spark, sf_dir).select(*feed.COLUMNS)
+    rows = feed.all_rows(feed.feed_all(spark, sf_dir)).select(*feed.COLUMNS)
     return rollup.rolling_window(rows, "issue_date", feed.AS_OF)
 
 
 def representative_supplier(spark, sf_dir):
-    rows = feed.lake_rows(spark, sf_dir)
+    rows = feed.all_rows(feed.feed_all(spark, sf_dir))
     return rollup.representative(rows, ["supplier_tax_id"], "supplier")
 
 
@@ -79,52 +79,54 @@ def fact_key_integrity(spark, sf_dir):
 
 
 def expected_counts(spark, sf_dir):
-    return reconcile.expected_counts(feed.totals(spark, sf_dir))
+    return reconcile.expected_counts(feed.totals(feed.feed_all(spark, sf_dir)))
 
 
 def actual_counts(spark, sf_dir):
-    return reconcile.actual_counts(feed.lake(spark, sf_dir))
+    return reconcile.actual_counts(feed.lake(feed.feed_all(spark, sf_dir)))
 
 
 def late_dates(spark, sf_dir):
-    return reconcile.late_dates(feed.late_source(spark, sf_dir))
+    return reconcile.late_dates(feed.late_source(feed.feed_all(spark, sf_dir)))
 
 
 def reconcile_recent(spark, sf_dir):
-    return reconcile.reconcile_recent(
-        feed.lake(spark, sf_dir), feed.totals(spark, sf_dir), feed.AS_OF
-    )
+    lines = feed.feed_all(spark, sf_dir)
+    return reconcile.reconcile_recent(feed.lake(lines), feed.totals(lines), feed.AS_OF)
 
 
 def reconcile_flagged(spark, sf_dir):
+    lines = feed.feed_all(spark, sf_dir)
     return reconcile.reconcile_flagged(
-        feed.lake(spark, sf_dir), feed.late_source(spark, sf_dir),
-        feed.totals(spark, sf_dir), feed.AS_OF,
+        feed.lake(lines), feed.late_source(lines), feed.totals(lines), feed.AS_OF
     )
 
 
-def report(spark, sf_dir):
+def _report(lines):
     return reconcile.reconcile(
-        feed.lake(spark, sf_dir), feed.late_source(spark, sf_dir),
-        feed.totals(spark, sf_dir), feed.AS_OF,
+        feed.lake(lines), feed.late_source(lines), feed.totals(lines), feed.AS_OF
     )
 
 
+def reconcile_report(spark, sf_dir):
+    return _report(feed.feed_all(spark, sf_dir))
+
+
 def initial_load(spark, sf_dir):
-    return merge.initial_load(feed.daily_source(spark, sf_dir), feed.late_source(spark, sf_dir))
+    lines = feed.feed_all(spark, sf_dir)
+    return merge.initial_load(feed.daily_source(lines), feed.late_source(lines))
 
 
 def late_merge(spark, sf_dir):
-    return merge.merge_late_rows(feed.lake(spark, sf_dir), feed.late_source(spark, sf_dir))
+    lines = feed.feed_all(spark, sf_dir)
+    return merge.merge_late_rows(feed.lake(lines), feed.late_source(lines))
 
 
 def _repair(spark, sf_dir, reread_daily=False):
-    lake, late = feed.lake(spark, sf_dir), feed.late_source(spark, sf_dir)
-    plan = merge.plan_repair(
-        reconcile.reconcile(lake, late, feed.totals(spark, sf_dir), feed.AS_OF)
-    )
-    return merge.repair(lake, feed.daily_source(spark, sf_dir), late, plan,
-                        reread_daily=reread_daily)
+    lines = feed.stored_feed(spark, sf_dir)
+    plan = merge.plan_repair(_report(lines))
+    return merge.repair(feed.lake(lines), feed.daily_source(lines), feed.late_source(lines),
+                        plan, reread_daily=reread_daily)
 
 
 def repair_all(spark, sf_dir):
@@ -195,12 +197,9 @@ def layered_run(spark, sf_dir):
         as_of=feed.AS_OF,
         run_ts=RUN_TS,
     )
-    write_partitions(feed.lake(spark, sf_dir), settings.bronze_path, P.LAYOUT.columns)
-    feeds = Feeds(
-        feed.daily_source(spark, sf_dir),
-        feed.late_source(spark, sf_dir),
-        feed.totals(spark, sf_dir),
-    )
+    lines = feed.stored_feed(spark, sf_dir)
+    write_partitions(feed.lake(lines), settings.bronze_path, P.LAYOUT.columns)
+    feeds = Feeds(feed.daily_source(lines), feed.late_source(lines), feed.totals(lines))
     result = run_layers(spark, feeds, settings)
     failed = [d for d in result.dimensions if not d.ok]
     if failed:
@@ -241,7 +240,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_dates": late_dates,
     "reconcile_recent": reconcile_recent,
     "reconcile_flagged": reconcile_flagged,
-    "reconcile_report": report,
+    "reconcile_report": reconcile_report,
     "initial_load": initial_load,
     "late_merge": late_merge,
     "repair_all": repair_all,

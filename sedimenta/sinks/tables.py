@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,13 @@ class LoadMetrics:
     seconds: float
     sums: dict[str, object]
     expected_rows: int | None = None
+    bytes: int | None = None
+
+    @property
+    def megabytes_per_second(self) -> float | None:
+        if self.bytes is None or not self.seconds:
+            return None
+        return self.bytes / 1e6 / self.seconds
 
     @property
     def rows_per_second(self) -> float:
@@ -89,7 +97,19 @@ def load_table(df: DataFrame, table: str, sums: Iterable[str] = (),
     df.sparkSession.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
     seconds = time.monotonic() - started
     found = dict(observation.get)
-    return LoadMetrics(table, found.pop("rows"), seconds, found, expected_rows)
+    return LoadMetrics(table, found.pop("rows"), seconds, found, expected_rows,
+                       stored_bytes(df.sparkSession, table))
+
+
+def stored_bytes(spark: SparkSession, table: str) -> int | None:
+    """Size of a table from its file listing; None where the catalog has no such figure."""
+    try:
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS NOSCAN")
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    except AnalysisException:
+        return None
+    size = described.where("col_name = 'Statistics'").select("data_type").first()
+    return int(size[0].split()[0]) if size else None
 
 
 def _renamed(spark: SparkSession, source: str, target: str) -> None:

@@ -37,7 +37,8 @@ class DateSet:
         if not self.dates:
             return df.where(F.lit(False))
         if len(self.dates) <= self.literal_limit:
-            return df.where(F.col(column).isin(list(self.dates)))
+            days = ", ".join(f"DATE'{d:%Y-%m-%d}'" for d in self.dates)
+            return df.where(f"`{column}` IN ({days})")
         return df.join(F.broadcast(self.frame(df.sparkSession, column)), column, "left_semi")
 
 

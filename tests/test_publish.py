@@ -88,6 +88,8 @@ def test_load_metrics_sums(spark, database):
     S.create_table(spark, table, COLUMNS)
     metrics = S.load_table(data(spark, (1, "a"), (4, "b")), table, sums=["id"])
     assert (metrics.rows, metrics.sums) == (2, {"id": 5})
+    assert metrics.bytes > 0 and metrics.megabytes_per_second > 0
+    assert S.stored_bytes(spark, f"{database}.absent") is None
 
 
 def test_fact_table_types(spark, database):

@@ -8,8 +8,10 @@ from sedimenta import purchases as P
 from sedimenta.functions.scalars import surrogate_key
 from sedimenta.operators import star
 from sedimenta.operators.rollup import monthly_rollup, representative, rolling_window
+from sedimenta.plans.feed import LAKE_SCHEMA
 from sedimenta.purchases import LAYOUT
-from sedimenta.sources.lake import with_partition_columns
+from sedimenta.sinks.partitions import write_partitions
+from sedimenta.sources.lake import read_lake, with_partition_columns
 from sedimenta.specs import DimensionSpec, KeySpec
 from tests.fixtures import frame, plan_of, row
 
@@ -60,6 +62,18 @@ def test_year_of_processing_or_issue(spark):
         rollup(spark, rows, year_from="other")
 
 
+def test_processing_date_can_prune_folders(spark, tmp_path):
+    rows = [row(issue_date=d, proc_date=d) for d in (dt.date(1999, 7, 31), dt.date(1999, 8, 1))]
+    path = str(tmp_path / "lake")
+    write_partitions(lake(spark, rows), path, LAYOUT.columns)
+    stored = read_lake(spark, path, LAKE_SCHEMA)
+    plain = monthly_rollup(stored, as_of=AS_OF, stamp=False)
+    pruned = monthly_rollup(stored, as_of=AS_OF, stamp=False, prune_by="proc_date")
+    assert plain.collect() == pruned.collect()
+    filters = next(x for x in plan_of(pruned).splitlines() if x.startswith("PartitionFilters"))
+    assert "proc_date" in filters
+
+
 def test_bad_month_text(spark):
     with pytest.raises(Exception, match="CANNOT_PARSE|could not be parsed"):
         rollup(spark, [row(issue_month="2001-08")]).collect()

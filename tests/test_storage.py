@@ -14,6 +14,7 @@ from sedimenta.session import object_store_options, scratch_path
 from sedimenta.sources.delimited import read_delimited
 from sedimenta.sources.jdbc import JdbcTable, date_predicates
 from sedimenta.sources.lake import lake_schema, read_lake, with_partition_columns
+from sedimenta.sources.spread import spread
 from sedimenta.specs import LakeLayout
 from tests.fixtures import frame, plan_of, row
 
@@ -113,6 +114,16 @@ def test_lake_scan_is_pruned(spark, tmp_path):
     assert "ReadSchema: struct<ean:string,issue_date:date>" in plan
 
 
+def test_only_few_files_are_spread(spark, tmp_path):
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    spark.range(100).coalesce(1).write.parquet(one)
+    spark.range(100).repartition(8).write.parquet(many)
+    assert spread(spark.read.parquet(one), "id").rdd.getNumPartitions() == 8
+    assert "Exchange" not in plan_of(spread(spark.read.parquet(many), "id"))
+    plan = plan_of(spread(spark.read.parquet(one), "id").where("id > 90"))
+    assert "GreaterThan(id,90)" in plan
+
+
 def test_missing_lake_is_empty_but_errors_are_raised(spark, tmp_path):
     assert read_lake(spark, str(tmp_path / "none"), LAKE_SCHEMA).count() == 0
     broken = tmp_path / "broken"
