@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,66 +53,72 @@ SOURCE_COLUMNS = [f.name for f in FEED_SCHEMA.fields if f.name != "origin"]
 COLUMNS = [f.name for f in FEED_SCHEMA.fields]
 
 
-def _text(column: str) -> Column:
-    return F.col(column).cast("string")
+# The order tables, declared so that no file is opened to infer a schema.
+TABLES = {
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string,
+        o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string""",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string,
+        p_size int, p_retailprice double""",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
+
+LINE_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+
+# A week is processed on Tuesday to Thursday of the next one.
+LINE = [
+    "l_orderkey AS src_order",
+    "l_linenumber AS src_line",
+    "lpad(CAST(l_partkey AS STRING), 13, '0') AS ean",
+    "lpad(CAST(o_custkey AS STRING), 14, '0') AS store_tax_id",
+    "CAST(year(shipped) * 100 + month(shipped) AS STRING) AS issue_month",
+    "CASE WHEN p_type = 'PROMO' THEN concat(p_name, '; x') ELSE p_name END AS product",
+    "concat('Maker ', substring(p_brand, 7, 1)) AS manufacturer",
+    "CASE WHEN l_linenumber = 1 THEN concat(s_name, ' Ltd') ELSE s_name END AS supplier",
+    "CAST(l_suppkey AS STRING) AS supplier_tax_id",
+    "p_type AS product_group",
+    "CASE WHEN p_size >= 5 THEN CAST(p_size AS STRING) END AS subclass",
+    "CASE WHEN p_size <= 45 THEN p_brand END AS brand",
+    "CAST(l_extendedprice AS DECIMAL(15,4)) AS amount",
+    "l_quantity + CASE WHEN l_linenumber = 2 THEN 0.5D ELSE 0.0D END AS quantity",
+    "shipped AS issue_date",
+    """date_add(trunc(shipped, 'week'),
+         CASE l_returnflag WHEN 'N' THEN 8 WHEN 'A' THEN 9 ELSE 10 END) AS proc_date""",
+    f"""CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus <> 'O'
+         THEN '{LATE}' ELSE '{DAILY}' END AS origin""",
+    "l_returnflag",
+    "l_linestatus",
+]
+
+# Late rows with return flag R are delivered twice; late rows of Tuesdays, or with
+# line status F, were merged into the lake by an earlier run.
+FLAGS = [
+    "*",
+    f"proc_date <> DATE'{MISSING_AT_SOURCE}' AS at_source",
+    f"CASE WHEN origin = '{LATE}' AND l_returnflag = 'R' THEN 2 ELSE 1 END AS copies",
+    f"""proc_date <> DATE'{MISSING_AT_SOURCE}'
+          AND day(proc_date) <> {MISSING_IN_LAKE_DAY}
+          AND (origin = '{DAILY}' OR l_returnflag = 'N' OR l_linestatus = 'F') AS in_lake""",
+]
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def feed_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every purchase line, with the flags the other views are made of."""
-    lineitem = spread(
-        spark.read.parquet(f"{sf_dir}/lineitem.parquet"),
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-    )
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
-
-    shipped = F.col("l_shipdate").cast("date")
-    # A week is processed on Tuesday to Thursday of the next one.
-    weekday = (F.when(F.col("l_returnflag") == "N", 8)
-               .when(F.col("l_returnflag") == "A", 9).otherwise(10))
-    reported_late = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") != "O")
-    is_late = F.col("origin") == LATE
-
+    lines = spread(_table(spark, sf_dir, "lineitem"), *LINE_KEYS)
+    orders, part, supplier = (_table(spark, sf_dir, t) for t in ("orders", "part", "supplier"))
     return (
-        lineitem
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            F.col("l_orderkey").alias("src_order"),
-            F.col("l_linenumber").alias("src_line"),
-            F.lpad(_text("l_partkey"), 13, "0").alias("ean"),
-            F.lpad(_text("o_custkey"), 14, "0").alias("store_tax_id"),
-            (F.year(shipped) * 100 + F.month(shipped)).cast("string").alias("issue_month"),
-            F.when(F.col("p_type") == "PROMO", F.concat("p_name", F.lit("; x")))
-             .otherwise(F.col("p_name")).alias("product"),
-            F.concat(F.lit("Maker "), F.substring("p_brand", 7, 1)).alias("manufacturer"),
-            F.when(F.col("l_linenumber") == 1, F.concat("s_name", F.lit(" Ltd")))
-             .otherwise(F.col("s_name")).alias("supplier"),
-            _text("l_suppkey").alias("supplier_tax_id"),
-            F.col("p_type").alias("product_group"),
-            F.when(F.col("p_size") >= 5, _text("p_size")).alias("subclass"),
-            F.when(F.col("p_size") <= 45, F.col("p_brand")).alias("brand"),
-            F.col("l_extendedprice").cast("decimal(15,4)").alias("amount"),
-            (F.col("l_quantity") + F.when(F.col("l_linenumber") == 2, 0.5).otherwise(0.0))
-            .alias("quantity"),
-            shipped.alias("issue_date"),
-            F.date_add(F.trunc(shipped, "week"), weekday).alias("proc_date"),
-            F.when(reported_late, LATE).otherwise(DAILY).alias("origin"),
-            F.col("l_returnflag"),
-            F.col("l_linestatus"),
-        )
-        .withColumn("at_source", F.col("proc_date") != F.lit(MISSING_AT_SOURCE))
-        # Late rows with return flag R are delivered twice.
-        .withColumn("copies", F.when(is_late & (F.col("l_returnflag") == "R"), 2).otherwise(1))
-        # Late rows of Tuesdays, or with line status F, were merged by an earlier run.
-        .withColumn(
-            "in_lake",
-            F.col("at_source")
-            & (F.dayofmonth("proc_date") != MISSING_IN_LAKE_DAY)
-            & (~is_late | (F.col("l_returnflag") == "N") | (F.col("l_linestatus") == "F")),
-        )
+        lines.join(orders, F.expr("l_orderkey = o_orderkey"))
+        .join(part, F.expr("l_partkey = p_partkey"))
+        .join(supplier, F.expr("l_suppkey = s_suppkey"))
+        .selectExpr("*", "CAST(l_shipdate AS DATE) AS shipped")
+        .selectExpr(*LINE)
+        .selectExpr(*FLAGS)
     )
 
 
@@ -125,13 +131,13 @@ def stored_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_source(feed: DataFrame) -> DataFrame:
-    return feed.where("at_source").where(F.col("origin") == DAILY).select(*SOURCE_COLUMNS)
+    return feed.where(f"at_source AND origin = '{DAILY}'").select(*SOURCE_COLUMNS)
 
 
 def late_source(feed: DataFrame) -> DataFrame:
     return (
-        feed.where("at_source").where(F.col("origin") == LATE)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        feed.where(f"at_source AND origin = '{LATE}'")
+        .selectExpr(*SOURCE_COLUMNS, "explode(sequence(1, copies)) AS copy")
         .select(*SOURCE_COLUMNS)
     )
 
