@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
@@ -14,18 +17,38 @@ from sedimenta.operators.star import build_fact
 from sedimenta.purchases import DIMENSIONS, FACT, LAYOUT, RECENT_DAYS, ROLLUP
 from sedimenta.sinks.partitions import write_partitions
 from sedimenta.sinks.tables import LoadMetrics, PublishResult, publish_dimensions, publish_fact
-from sedimenta.sources.dates import date_set
+from sedimenta.sources.dates import DateSet, date_set
 from sedimenta.sources.lake import read_lake
 from sedimenta.specs import DimensionSpec, FactSpec, LakeLayout, RollupSpec
 
 
+class DatedTable(Protocol):
+    """An operational table that can be read by date, such as ``JdbcTable``."""
+
+    def read(self, spark: SparkSession) -> DataFrame: ...
+
+    def read_dates(self, spark: SparkSession, dates: Iterable[dt.date]) -> DataFrame: ...
+
+    def distinct_dates(self, spark: SparkSession) -> DataFrame: ...
+
+
 @dataclass(frozen=True)
 class Feeds:
-    """The operational tables of a run."""
+    """The operational tables of a run, each a frame or a table read by date."""
+
+    daily: DataFrame | DatedTable
+    late: DataFrame | DatedTable
+    totals: DataFrame | DatedTable
+
+
+def _whole(spark: SparkSession, feed: DataFrame | DatedTable) -> DataFrame:
+    return feed if isinstance(feed, DataFrame) else feed.read(spark)
 
-    daily: DataFrame
-    late: DataFrame
-    totals: DataFrame
+
+def _of_dates(spark: SparkSession, feed: DataFrame | DatedTable, *sets: DateSet) -> DataFrame:
+    if isinstance(feed, DataFrame):
+        return feed
+    return feed.read_dates(spark, [d for dates in sets for d in dates.dates])
 
 
 @dataclass(frozen=True)
@@ -60,16 +83,18 @@ def refresh_bronze(spark: SparkSession, feeds: Feeds, settings: Settings) -> tup
     Returns the report, one row per date looked at.
     """
     layout, date = settings.layout, settings.layout.date
+    as_of, days = settings.as_of, settings.recent_days
     lake = read_lake(spark, settings.bronze_path, settings.bronze_schema)
-    candidates = date_set(
-        candidate_dates(feeds.late, settings.as_of, settings.recent_days, date), date
-    )
-    report = reconcile(lake, feeds.late, feeds.totals, settings.as_of,
-                       settings.recent_days, date, candidates)
+    dated = feeds.late if isinstance(feeds.late, DataFrame) else feeds.late.distinct_dates(spark)
+    candidates = date_set(candidate_dates(dated, as_of, days, date), date)
+    report = reconcile(lake, dated, _whole(spark, feeds.totals), as_of, days, date, candidates)
     plan = plan_repair(report, layout)
     if plan:
+        reread = [plan.merge] if settings.reread_daily else []
+        daily = _of_dates(spark, feeds.daily, plan.load, *reread)
+        late = _of_dates(spark, feeds.late, plan.load, plan.merge)
         write_partitions(
-            repair(lake, feeds.daily, feeds.late, plan, layout, settings.reread_daily),
+            repair(lake, daily, late, plan, layout, settings.reread_daily),
             settings.bronze_path, layout.columns,
         )
     return plan.report
@@ -101,24 +126,28 @@ def read_silver(spark: SparkSession, settings: Settings) -> DataFrame:
     )
 
 
-def refresh_gold(spark: SparkSession, settings: Settings) -> tuple[LoadMetrics, list[PublishResult]]:
-    """Publish the fact, then the dimensions. A failing fact stops the run."""
-    silver = read_silver(spark, settings)
-    fact = publish_fact(
-        build_fact(silver, settings.fact, settings.run_ts), settings.fact,
-        f"{settings.database}.{settings.fact.table}", settings.table_format,
-    )
-    dimensions = publish_dimensions(
-        silver, settings.dimensions, settings.database, settings.run_ts,
-        settings.table_format,
-    )
-    return fact, dimensions
+def refresh_fact(spark: SparkSession, settings: Settings) -> LoadMetrics:
+    fact = build_fact(read_silver(spark, settings), settings.fact, settings.run_ts)
+    return publish_fact(fact, settings.fact, f"{settings.database}.{settings.fact.table}",
+                        settings.table_format)
+
+
+def refresh_dimensions(spark: SparkSession, settings: Settings) -> list[PublishResult]:
+    return publish_dimensions(read_silver(spark, settings), settings.dimensions,
+                              settings.database, settings.run_ts, settings.table_format)
 
 
 def run_layers(spark: SparkSession, feeds: Feeds, settings: Settings) -> RunResult:
-    """All layers in dependency order. Running it again changes nothing."""
+    """All layers in dependency order. Running it again changes nothing.
+
+    A failing bronze or silver step stops the run. The dimensions do not depend on
+    the fact: they are published even if it fails, and its error is raised after.
+    """
     result = RunResult()
     result.report = refresh_bronze(spark, feeds, settings)
     refresh_silver(spark, settings)
-    result.fact, result.dimensions = refresh_gold(spark, settings)
+    try:
+        result.fact = refresh_fact(spark, settings)
+    finally:
+        result.dimensions = refresh_dimensions(spark, settings)
     return result

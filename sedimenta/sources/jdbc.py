@@ -12,12 +12,19 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class JdbcTable:
-    """One operational table. Credentials come in as caller options only."""
+    """One operational table. Credentials come in as caller options only.
+
+    ``split_column`` (an integer column) cuts each date into ``splits`` queries, so
+    that one heavy date is not one task. ``splits`` also bounds, per date, the
+    connections the database has to serve.
+    """
 
     url: str
     table: str
     options: dict[str, str] = field(default_factory=dict, repr=False)
     date_column: str = "proc_date"
+    split_column: str | None = None
+    splits: int = 1
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The whole table, lazily; filters on it are pushed into the database.
@@ -25,34 +32,37 @@ class JdbcTable:
         Give ``partitionColumn``/``lowerBound``/``upperBound``/``numPartitions``
         among the options to split a large read.
         """
-        options = {"fetchsize": "10000", **self.options}
+        return self._load(spark, self.table)
+
+    def read_dates(self, spark: SparkSession, dates: Iterable[dt.date]) -> DataFrame:
+        """The rows of the given dates, one or more concurrent queries per date."""
+        predicates = date_predicates(self.date_column, dates, self.split_column, self.splits)
+        if not predicates:
+            return self.read(spark).where(F.lit(False))
+        return spark.read.jdbc(
+            self.url, self.table, predicates=predicates, properties=self._properties()
+        )
+
+    def distinct_dates(self, spark: SparkSession) -> DataFrame:
+        """The dates that have rows, made distinct by the database."""
+        return self._load(spark, distinct_dates_query(self.table, self.date_column))
+
+    def _properties(self) -> dict[str, str]:
+        return {"fetchsize": "10000", **self.options}
+
+    def _load(self, spark: SparkSession, dbtable: str) -> DataFrame:
         return (
             spark.read.format("jdbc")
             .option("url", self.url)
-            .option("dbtable", self.table)
-            .options(**options)
+            .option("dbtable", dbtable)
+            .options(**self._properties())
             .load()
         )
 
-    def read_dates(
-        self,
-        spark: SparkSession,
-        dates: Iterable[dt.date],
-        split_column: str | None = None,
-        splits: int = 1,
-    ) -> DataFrame:
-        """The rows of the given dates, one or more concurrent queries per date.
-
-        ``split_column`` (an integer column) cuts each date into ``splits``
-        queries, so that one heavy date is not one task.
-        """
-        predicates = date_predicates(self.date_column, dates, split_column, splits)
-        if not predicates:
-            return self.read(spark).where(F.lit(False))
-        properties = {"fetchsize": "10000", **self.options}
-        return spark.read.jdbc(
-            self.url, self.table, predicates=predicates, properties=properties
-        )
+
+def distinct_dates_query(table: str, date_column: str) -> str:
+    return (f"(SELECT DISTINCT {date_column} FROM {table} "
+            f"WHERE {date_column} IS NOT NULL) dates")
 
 
 def date_predicates(

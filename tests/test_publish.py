@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from sedimenta.plans.queries import scratch_database
 from sedimenta.purchases import LAYOUT
 from sedimenta.sinks import tables as S
 from sedimenta.sources.lake import read_lake, with_partition_columns
-from sedimenta.specs import DimensionSpec, KeySpec
+from sedimenta.specs import ColumnSpec, DimensionSpec, KeySpec
 from tests.fixtures import TOTALS_SCHEMA, frame, plan_of, row, source
 
 AS_OF = dt.date(2001, 8, 15)
@@ -165,3 +166,43 @@ def test_layers_merge_late_rows_into_existing_dates(spark, tmp_path, database):
     stored = read_lake(spark, settings.bronze_path, LAKE_SCHEMA)
     ninth = stored.where(F.col("proc_date") == dt.date(2001, 8, 9))
     assert sorted((r.src_order, r.origin) for r in ninth.collect()) == [(9, "DAILY"), (30, "LATE")]
+
+
+class ByDate:
+    """Stands in for an operational table that is read by date."""
+
+    def __init__(self, rows):
+        self.rows, self.asked = rows, []
+
+    def read(self, spark):
+        return self.rows
+
+    def read_dates(self, spark, dates):
+        self.asked.append(sorted(d.day for d in dates))
+        return self.rows.where(F.col("proc_date").isin(list(dates)))
+
+    def distinct_dates(self, spark):
+        return self.rows.where("proc_date IS NOT NULL").select("proc_date").distinct()
+
+
+def test_layers_read_only_the_dates_they_repair(spark, tmp_path, database):
+    feeds, settings = layers(spark, tmp_path, database)
+    tables = Feeds(ByDate(feeds.daily), ByDate(feeds.late), ByDate(feeds.totals))
+    run_layers(spark, tables, settings)
+    by_date = snapshot(spark, settings)
+    assert tables.daily.asked == [[2, 8, 9, 10, 11, 12, 13, 14]]
+    run_layers(spark, tables, settings)
+    assert tables.daily.asked[1] == tables.late.asked[1] == [8]
+
+    _, other = layers(spark, tmp_path / "frames", scratch_database(spark, "t"))
+    run_layers(spark, feeds, other)
+    assert snapshot(spark, other) == by_date
+
+
+def test_failing_fact_does_not_stop_the_dimensions(spark, tmp_path, database):
+    wrong = replace(P.FACT, columns=(ColumnSpec("x", "brand", "int"),))
+    feeds, settings = layers(spark, tmp_path, database, fact=wrong)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|updated|month"):
+        run_layers(spark, feeds, settings)
+    assert spark.table(f"{database}.dim_brand").count() == 1
+    assert not spark.catalog.tableExists(f"{database}.{P.FACT.table}")

@@ -12,7 +12,7 @@ from sedimenta.sinks.jdbc import column_types, register_jdbc_catalog
 from sedimenta.sinks.partitions import write_partitions
 from sedimenta.session import object_store_options, scratch_path
 from sedimenta.sources.delimited import read_delimited
-from sedimenta.sources.jdbc import JdbcTable, date_predicates
+from sedimenta.sources.jdbc import JdbcTable, date_predicates, distinct_dates_query
 from sedimenta.sources.lake import lake_schema, read_lake, with_partition_columns
 from sedimenta.sources.spread import spread
 from sedimenta.specs import LakeLayout
@@ -176,6 +176,12 @@ def test_jdbc_predicates_partition_the_rows(spark, splits):
     assert sum(p.count() for p in parts) == len(rows)
 
 
+def test_jdbc_dates_are_made_distinct_by_the_database(spark):
+    query = distinct_dates_query("late_rows", "d")
+    spark.createDataFrame([(FEB,), (FEB,), (None,)], "d date").createOrReplaceTempView("late_rows")
+    assert spark.sql(f"SELECT * FROM {query}").collect() == [(FEB,)]
+
+
 def test_credentials_are_not_shown():
     table = JdbcTable("jdbc:x", "t", {"user": "u", "password": "secret"})
     assert "secret" not in repr(table)
