@@ -10,8 +10,10 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -186,24 +188,37 @@ def publish_fact(fact: DataFrame, spec: FactSpec, table: str,
                    sums=["amount"] if "amount" in fact.columns else [], using=using)
 
 
+def publish_dimension(silver: DataFrame, spec: DimensionSpec, database: str,
+                      run_ts=None, using: str | None = "parquet") -> PublishResult:
+    """Build and publish one dimension; a failure is returned, not raised."""
+    table = f"{database}.{spec.table}"
+    try:
+        members = lookup_layout(
+            build_dimension(silver, spec, run_ts), spec.month, spec.sort_columns()
+        )
+        # Grouping already makes the key unique unless other attributes are shown.
+        only_key = set(spec.attributes) <= set(spec.key.columns)
+        metrics = publish(members, table, spec.ddl(), using=using,
+                          unique_key=None if only_key else spec.key.name)
+        return PublishResult(table, metrics)
+    except Exception as error:  # noqa: BLE001 - reported per dimension
+        return PublishResult(table, error=str(error))
+
+
 def publish_dimensions(silver: DataFrame, specs: Iterable[DimensionSpec], database: str,
-                       run_ts=None, using: str | None = "parquet") -> list[PublishResult]:
-    """Build and publish each dimension; one that fails does not stop the others."""
-    results = []
-    for spec in specs:
-        table = f"{database}.{spec.table}"
-        try:
-            members = lookup_layout(
-                build_dimension(silver, spec, run_ts), spec.month, spec.sort_columns()
-            )
-            # Grouping already makes the key unique unless other attributes are shown.
-            only_key = set(spec.attributes) <= set(spec.key.columns)
-            metrics = publish(members, table, spec.ddl(), using=using,
-                              unique_key=None if only_key else spec.key.name)
-            results.append(PublishResult(table, metrics))
-        except Exception as error:  # noqa: BLE001 - reported per dimension
-            results.append(PublishResult(table, error=str(error)))
-    return results
+                       run_ts=None, using: str | None = "parquet",
+                       concurrency: int = 5) -> list[PublishResult]:
+    """Publish each dimension; one that fails does not stop the others.
+
+    The dimensions are independent jobs, so they are submitted side by side and
+    fill the executors that the tail of another one leaves idle.
+    """
+    def one(spec: DimensionSpec) -> PublishResult:
+        return publish_dimension(silver, spec, database, run_ts, using)
+
+    inherited = inheritable_thread_target(silver.sparkSession)(one)
+    with ThreadPoolExecutor(max_workers=concurrency) as pool:
+        return list(pool.map(inherited, specs))
 
 
 def create_indexes(spark: SparkSession, table: str, columns: Iterable[str]) -> None:
