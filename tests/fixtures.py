@@ -1,6 +1,7 @@
 """Small hand-made purchase rows."""
 
 import datetime as dt
+import hashlib
 from decimal import Decimal
 
 from sedimenta.plans.feed import FEED_SCHEMA, SOURCE_COLUMNS
@@ -34,3 +35,9 @@ def plan_of(df):
     return df._jdf.queryExecution().explainString(
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
+
+
+def expected_key(parts):
+    """The surrogate key of a tuple of texts, worked out in Python."""
+    framed = "".join("-" if p is None else f"{len(p)}:{p}" for p in parts)
+    return hashlib.md5(framed.encode()).hexdigest()

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -13,7 +14,7 @@ from sedimenta.purchases import LAYOUT
 from sedimenta.sinks.partitions import write_partitions
 from sedimenta.sources.lake import read_lake, with_partition_columns
 from sedimenta.specs import DimensionSpec, KeySpec
-from tests.fixtures import frame, plan_of, row
+from tests.fixtures import expected_key, frame, plan_of, row
 
 AS_OF = dt.date(2001, 8, 15)
 RUN_TS = dt.datetime(2001, 8, 15, 3, 0)
@@ -95,6 +96,70 @@ def test_rollup_shuffles_once(spark):
     assert plan.count("+- Exchange (") == 1
 
 
+def random_rows(seed):
+    """Random lines; a third of them share one key and a third of those are copies."""
+    rng = random.Random(seed)
+
+    def one(**fixed):
+        month = rng.choice([dt.date(2001, 7, 1), dt.date(2001, 8, 1), dt.date(1999, 7, 1)])
+        values = dict(
+            ean=rng.choice(["1", "2"]), product=rng.choice(["a", "a;", None]),
+            brand=rng.choice(["B1", "B2", None]), subclass=rng.choice(["10", None]),
+            supplier=rng.choice(["Acme", "Acme Ltd", "Zeta", None]),
+            supplier_tax_id=rng.choice(["7", "07"]), issue_month=f"{month:%Y%m}",
+            issue_date=month, proc_date=month + dt.timedelta(days=rng.choice([1, 200])),
+            amount=Decimal(rng.randrange(1, 10**6)).scaleb(-4), quantity=rng.randrange(9) / 2,
+        )
+        return row(**{**values, **fixed})
+
+    hot = dict(ean="1", product="a", brand="B1", subclass="10", supplier_tax_id="7",
+               issue_month="200108", issue_date=dt.date(2001, 8, 1),
+               proc_date=dt.date(2001, 8, 2))
+    return [one() for _ in range(200)] + [one(**hot) for _ in range(70)] + [one(**hot)] * 30
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_rollup_matches_brute_force(spark, seed):
+    rows = random_rows(seed)
+    groups = {}
+    for r in rows:
+        if r["issue_date"] < dt.date(1999, 8, 1):
+            continue
+        key = tuple({**r, "proc_year": r["proc_date"].year}[k] for k in P.ROLLUP.keys)
+        groups.setdefault(key, []).append(r)
+    expected = []
+    for key, members in groups.items():
+        shown = dict(zip(P.ROLLUP.keys, key))
+        names = [m["supplier"] for m in members if m["supplier"] is not None]
+        shown.update(
+            issue_month=members[0]["issue_date"],
+            supplier_tax_id=shown["supplier_tax_id"].zfill(14),
+            supplier=max(names, default=None),
+            amount=sum(m["amount"] for m in members),
+            quantity=sum(m["quantity"] for m in members),
+        )
+        expected.append(tuple(shown[c] for c in P.ROLLUP.output))
+    found = [tuple(r) for r in rollup(spark, rows).collect()]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("spec", P.DIMENSIONS, ids=lambda d: d.table)
+def test_dimension_matches_brute_force(spark, spec):
+    silver = rollup(spark, random_rows(5))
+    seen = {}
+    for r in silver.collect():
+        raw = tuple(r[c] for c in spec.attributes)
+        if raw[0] is not None:
+            seen[raw] = max(seen.get(raw, dt.date.min), r.issue_month)
+    strip = str.maketrans("", "", "\n\r;")
+    expected = [
+        (expected_key(raw), *(v and v.translate(strip) for v in raw), month)
+        for raw, month in seen.items()
+    ]
+    found = [tuple(r) for r in star.build_dimension(silver, spec, stamp=False).collect()]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+
+
 def test_fact_row_per_rollup_row(spark):
     silver = rollup(spark, [row(quantity=2.5), row(brand=None, quantity=1.5),
                             row(subclass=None)])

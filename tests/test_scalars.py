@@ -1,4 +1,3 @@
-import hashlib
 from decimal import Decimal
 
 import pytest
@@ -8,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.functions import scalars as S
+from tests.fixtures import expected_key
 
 
 def values(spark, rows, schema, column):
@@ -68,11 +68,6 @@ def test_surrogate_keys_differ(spark):
     assert all(len(k) == 32 for k in keys)
 
 
-def expected_key(parts):
-    framed = "".join("-" if p is None else f"{len(p)}:{p}" for p in parts)
-    return hashlib.md5(framed.encode()).hexdigest()
-
-
 text = st.one_of(st.none(), st.text(st.characters(codec="utf-8", exclude_characters="\x00"),
                                     max_size=8))
 
