@@ -170,7 +170,7 @@ def load_metrics(spark, sf_dir):
     table = f"{scratch_database(spark, 'metrics')}.{P.FACT.table}"
     fact = star.build_fact(silver(spark, sf_dir), run_ts=RUN_TS)
     tables.create_table(spark, table, P.FACT.ddl())
-    loaded = tables.load_table(star.with_row_ids(fact), table, sums=["amount"])
+    loaded = tables.load_table(star.with_row_ids(fact), table, sums=P.FACT.totals)
     return spark.range(1).select(
         F.lit(P.FACT.table).alias("table_name"),
         F.lit(loaded.rows).cast("bigint").alias("row_count"),

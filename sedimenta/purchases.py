@@ -72,6 +72,7 @@ FACT = FactSpec(
         ColumnSpec("quantity", "quantity", "int"),
     ),
     month="issue_month",
+    totals=("amount",),
 )
 
 DIM_MANUFACTURER = DimensionSpec(

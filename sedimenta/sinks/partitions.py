@@ -28,7 +28,8 @@ def write_partitions(
 
     An empty frame touches no partition. ``prune_stale`` replaces the whole
     dataset instead, so partitions absent from ``df`` go away; it cannot be used
-    on a path that ``df`` itself reads.
+    on a path that ``df`` itself reads, and a failed run leaves the dataset to be
+    written again.
     """
     if cluster:
         df = cluster_for_write(df, by)

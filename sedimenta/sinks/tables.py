@@ -185,7 +185,7 @@ def publish_fact(fact: DataFrame, spec: FactSpec, table: str,
                  using: str | None = "parquet") -> LoadMetrics:
     laid_out = lookup_layout(fact, spec.month, spec.sort_columns())
     return publish(with_row_ids(laid_out, spec.row_id), table, spec.ddl(),
-                   sums=["amount"] if "amount" in fact.columns else [], using=using)
+                   sums=spec.totals, using=using)
 
 
 def publish_dimension(silver: DataFrame, spec: DimensionSpec, database: str,

@@ -14,6 +14,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     large one, is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
+    # Only the length is asked for: df.inputFiles() would copy every name of a
+    # large table into Python one by one.
+    if len(df._jdf.inputFiles()) >= cores:
         return df
     return df.repartition(cores, *keys)

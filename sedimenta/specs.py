@@ -61,10 +61,13 @@ class ColumnSpec:
 
 @dataclass(frozen=True)
 class FactSpec:
+    """A fact: surrogate keys, typed columns and the measures totalled on load."""
+
     table: str
     keys: tuple[KeySpec, ...]
     columns: tuple[ColumnSpec, ...]
     month: str
+    totals: tuple[str, ...] = ()
     row_id: str = "fact_id"
     key_type: str = "varchar(50)"
     stamp: str = "updated_at"
