@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from typing import Protocol
@@ -67,6 +68,7 @@ class Settings:
     reread_daily: bool = False
     prune_stale: bool = False
     processing_follows_issue: bool = False
+    stage_path: str | None = None
     table_format: str | None = "parquet"
 
 
@@ -93,13 +95,26 @@ def refresh_bronze(spark: SparkSession, feeds: Feeds, settings: Settings) -> tup
         reread = [plan.merge] if settings.reread_daily else []
         daily = _of_dates(spark, feeds.daily, plan.load, *reread)
         late = _of_dates(spark, feeds.late, plan.load, plan.merge)
-        write_partitions(
-            repair(lake, daily, late, plan, layout, settings.reread_daily),
-            settings.bronze_path, layout.columns,
-        )
+        repaired = repair(lake, daily, late, plan, layout, settings.reread_daily)
+        staged = settings.stage_path is not None
+        if staged:
+            repaired = stage(repaired, settings)
+        write_partitions(repaired, settings.bronze_path, layout.columns, cluster=not staged)
     return plan.report
 
 
+def stage(repaired: DataFrame, settings: Settings) -> DataFrame:
+    """Keep a finished copy of the repaired dates before the lake is touched.
+
+    Replacing folders deletes before it renames. If the driver dies in between,
+    the dates are still whole in the copy: writing it to the lake again with
+    ``write_partitions`` completes the run. Old copies may be expired at will.
+    """
+    path = f"{settings.stage_path.rstrip('/')}/repair-{uuid.uuid4().hex}"
+    write_partitions(repaired, path, settings.layout.columns)
+    return read_lake(repaired.sparkSession, path, settings.bronze_schema)
+
+
 def refresh_silver(spark: SparkSession, settings: Settings) -> None:
     """Roll bronze up by month and replace the years of the result.
 

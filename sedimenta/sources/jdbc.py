@@ -15,8 +15,8 @@ class JdbcTable:
     """One operational table. Credentials come in as caller options only.
 
     ``split_column`` (an integer column) cuts each date into ``splits`` queries, so
-    that one heavy date is not one task. ``splits`` also bounds, per date, the
-    connections the database has to serve.
+    that one heavy date is not one task. ``max_connections`` bounds how many queries
+    the database serves at a time, whatever the size of the cluster.
     """
 
     url: str
@@ -25,6 +25,7 @@ class JdbcTable:
     date_column: str = "proc_date"
     split_column: str | None = None
     splits: int = 1
+    max_connections: int = 32
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The whole table, lazily; filters on it are pushed into the database.
@@ -35,13 +36,14 @@ class JdbcTable:
         return self._load(spark, self.table)
 
     def read_dates(self, spark: SparkSession, dates: Iterable[dt.date]) -> DataFrame:
-        """The rows of the given dates, one or more concurrent queries per date."""
+        """The rows of the given dates, one or more queries per date."""
         predicates = date_predicates(self.date_column, dates, self.split_column, self.splits)
         if not predicates:
             return self.read(spark).where(F.lit(False))
-        return spark.read.jdbc(
+        rows = spark.read.jdbc(
             self.url, self.table, predicates=predicates, properties=self._properties()
         )
+        return rows.coalesce(self.max_connections)
 
     def distinct_dates(self, spark: SparkSession) -> DataFrame:
         """The dates that have rows, made distinct by the database."""

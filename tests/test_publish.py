@@ -1,4 +1,5 @@
 import datetime as dt
+import shutil
 from dataclasses import replace
 
 import pytest
@@ -8,10 +9,11 @@ from sedimenta import purchases as P
 from sedimenta.operators.rollup import monthly_rollup
 from sedimenta.operators.star import build_fact
 from sedimenta.plans.feed import LAKE_SCHEMA
-from sedimenta.plans.layers import Feeds, Settings, read_silver, run_layers
+from sedimenta.plans.layers import Feeds, Settings, read_silver, refresh_bronze, run_layers
 from sedimenta.plans.queries import scratch_database
 from sedimenta.purchases import LAYOUT
 from sedimenta.sinks import tables as S
+from sedimenta.sinks.partitions import write_partitions
 from sedimenta.sources.lake import read_lake, with_partition_columns
 from sedimenta.specs import ColumnSpec, DimensionSpec, KeySpec
 from tests.fixtures import TOTALS_SCHEMA, frame, plan_of, row, source
@@ -168,6 +170,23 @@ def test_layers_merge_late_rows_into_existing_dates(spark, tmp_path, database):
     assert sorted((r.src_order, r.origin) for r in ninth.collect()) == [(9, "DAILY"), (30, "LATE")]
 
 
+def test_repairs_can_be_staged(spark, tmp_path, database):
+    feeds, settings = layers(spark, tmp_path, database, stage_path=str(tmp_path / "stage"))
+    refresh_bronze(spark, feeds, settings)
+    bronze = read_lake(spark, settings.bronze_path, LAKE_SCHEMA)
+    (copy,) = (tmp_path / "stage").iterdir()
+    staged = read_lake(spark, str(copy), LAKE_SCHEMA)
+    rows = sorted(str(r) for r in bronze.collect())
+    assert len(rows) == 8
+    assert sorted(str(r) for r in staged.collect()) == rows
+
+    # A date lost half-way through the replacement comes back from the copy.
+    shutil.rmtree(tmp_path / "bronze" / "proc_year=2001" / "proc_month=08" / "proc_date=2001-08-13")
+    write_partitions(staged, settings.bronze_path, LAYOUT.columns, cluster=False)
+    again = read_lake(spark, settings.bronze_path, LAKE_SCHEMA)
+    assert sorted(str(r) for r in again.collect()) == rows
+
+
 class ByDate:
     """Stands in for an operational table that is read by date."""
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -176,6 +177,46 @@ def test_jdbc_predicates_partition_the_rows(spark, splits):
     assert sum(p.count() for p in parts) == len(rows)
 
 
+class Reader:
+    """Records what a JDBC read is asked for and answers with fixed rows."""
+
+    def __init__(self, rows):
+        self.rows, self.given = rows, {}
+
+    def jdbc(self, url, table, predicates, properties):
+        self.given.update(url=url, table=table, predicates=predicates, properties=properties)
+        return self.rows
+
+    def format(self, name):
+        self.given["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.given[key] = value
+        return self
+
+    def options(self, **values):
+        self.given.update(values)
+        return self
+
+    def load(self):
+        return self.rows
+
+
+def test_jdbc_table_reads(spark):
+    reader = Reader(spark.range(0, 100, 1, 10))
+    session = SimpleNamespace(read=reader)
+    table = JdbcTable("jdbc:x", "t", {"user": "u"}, "d", "id", splits=5, max_connections=4)
+    rows = table.read_dates(session, [FEB, MAR])
+    assert reader.given["predicates"] == date_predicates("d", [FEB, MAR], "id", 5)
+    assert reader.given["properties"] == {"fetchsize": "10000", "user": "u"}
+    assert (rows.rdd.getNumPartitions(), rows.count()) == (4, 100)
+    assert table.read_dates(session, []).count() == 0
+    table.distinct_dates(session)
+    assert reader.given["dbtable"] == distinct_dates_query("t", "d")
+    assert reader.given["format"] == "jdbc" and reader.given["user"] == "u"
+
+
 def test_jdbc_dates_are_made_distinct_by_the_database(spark):
     query = distinct_dates_query("late_rows", "d")
     spark.createDataFrame([(FEB,), (FEB,), (None,)], "d date").createOrReplaceTempView("late_rows")
