@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +51,46 @@ def small_join(left: DataFrame, right: DataFrame, on: str, how: str, row_bytes:
 def held_out(doc_id: Column) -> Column:
     """True for the quarter of documents whose labels no model may learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
+
+
+ARROW = {
+    "boolean": pa.bool_(),
+    "int": pa.int32(),
+    "long": pa.int64(),
+    "double": pa.float64(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+    "array<int>": pa.list_(pa.int32()),
+    "array<long>": pa.list_(pa.int64()),
+}
+
+
+def map_texts(
+    df: DataFrame,
+    keep: Sequence[str],
+    text: str,
+    fields: Sequence[tuple[str, str]],
+    start: Callable[[], Callable[[list[str | None]], Sequence[Sequence]]],
+) -> DataFrame:
+    """One row per row: the kept columns and what a Python function makes of the text.
+
+    ``start`` is called once a task and gives a function from a list of texts to one
+    list for each of ``fields``. The kept columns stay in Arrow, so nulls and long
+    integers come through unchanged.
+    """
+    df = df.select(*keep, text)
+    names = [*keep, *(name for name, _ in fields)]
+    types = [ARROW[kind] for _, kind in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for batch in batches:
+            made = work(batch.column(len(keep)).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in range(len(keep))),
+                 *(x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip(made, types))],
+                names=names,
+            )
+
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[: len(keep)]]
+    return df.mapInArrow(run, ", ".join([*kept, *(f"`{name}` {kind}" for name, kind in fields)]))

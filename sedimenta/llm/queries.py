@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sedimenta.llm import language, quality, toxicity
 from sedimenta.llm.common import table
 from sedimenta.llm.mixing import mix, taken_words
 from sedimenta.llm.naming import exact_groups
 from sedimenta.llm.oracles import ORACLES as ORACLES
+from sedimenta.llm.secrets import scan
 from sedimenta.llm.shards import shard
 
 
@@ -17,14 +19,42 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(mix(table(spark, sf_dir, "documents")))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.grade(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn(docs))
+
+
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op6_exact_dedup, op8_shards)
+    f.__name__: f
+    for f in (
+        op1_mix_sources,
+        op2_secret_scan,
+        op4_toxicity,
+        op5_quality,
+        op6_exact_dedup,
+        op7_language_id,
+        op8_shards,
+    )
 }
