@@ -11,6 +11,7 @@ from sedimenta.llm.common import table
 from sedimenta.llm.mixing import mix, taken_words
 from sedimenta.llm.naming import exact_groups
 from sedimenta.llm.oracles import ORACLES as ORACLES
+from sedimenta.llm.rendering import render_pages
 from sedimenta.llm.secrets import scan
 from sedimenta.llm.shards import shard
 
@@ -46,6 +47,10 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -56,5 +61,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_exact_dedup,
         op7_language_id,
         op8_shards,
+        op9_html_text,
     )
 }
