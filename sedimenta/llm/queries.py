@@ -14,6 +14,7 @@ from sedimenta.llm.oracles import ORACLES as ORACLES
 from sedimenta.llm.rendering import render_pages
 from sedimenta.llm.secrets import scan
 from sedimenta.llm.shards import shard
+from sedimenta.llm.templates import decontaminate
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +52,10 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render_pages(table(spark, sf_dir, "pages"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -62,5 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_language_id,
         op8_shards,
         op9_html_text,
+        op10_decontaminate,
     )
 }
