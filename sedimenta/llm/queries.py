@@ -10,6 +10,7 @@ from sedimenta.llm import language, quality, toxicity
 from sedimenta.llm.common import table
 from sedimenta.llm.mixing import mix, taken_words
 from sedimenta.llm.naming import exact_groups
+from sedimenta.llm.near_join import near_join
 from sedimenta.llm.oracles import ORACLES as ORACLES
 from sedimenta.llm.rendering import render_pages
 from sedimenta.llm.secrets import scan
@@ -25,6 +26,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op3_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_mix_sources,
         op2_secret_scan,
+        op3_near_join,
         op4_toxicity,
         op5_quality,
         op6_exact_dedup,
