@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import staged
+from sedimenta.llm.common import fresh, small_join, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -202,3 +202,23 @@ def taken_words(made: Mix) -> DataFrame:
         .select("doc_id", "size", "source_size", "target",
                 F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     )
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The documents of the mix, whole, once for every pass that takes words of them.
+
+    Cutting only at the end of a source's share would split one document per source and
+    pass; that one is kept whole. All columns are kept, and no others added.
+    """
+    name = fresh(docs, "rid")
+    held = staged(docs.withColumn(name, F.monotonically_increasing_id()), "mix-docs")
+    made = mix(held, rid_col=name, **options)
+    times = fresh(held, "times")
+    taken = staged(
+        made.pieces.groupBy(F.col("rid").alias(name)).agg(F.count_distinct("pass").cast("int").alias(times)), "mix-taken")
+    copies = F.sequence(F.lit(1), F.col(times))
+    one = fresh(held, "copy")
+    return (
+        small_join(held, taken, name, "inner", 24)
+        .withColumn(one, F.explode(copies)).drop(name, times, one)
+    )

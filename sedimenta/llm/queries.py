@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from sedimenta.llm import language, quality, toxicity
 from sedimenta.llm.common import table
 from sedimenta.llm.mixing import mix, taken_words
@@ -76,3 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_decontaminate,
     )
 }
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
