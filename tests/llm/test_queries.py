@@ -1,0 +1,46 @@
+"""The registered queries over whole tables: SQL where there is SQL, counts elsewhere."""
+
+import pytest
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from sedimenta.llm.common import table
+from sedimenta.llm.queries import ORACLES, QUERIES
+from tests.oracle import compare, connect
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_registered():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_oracle(spark, name):
+    same_columns, actual, expected = compare(QUERIES[name](spark, SF), connect(SF), ORACLES[name])
+    assert same_columns and actual == expected and actual
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"pipeline"}))
+def test_one_row_per_row(spark, name):
+    whole = table(spark, SF, "pages" if name.startswith("op9") else "documents").count()
+    assert QUERIES[name](spark, SF).count() == whole
+
+
+def test_pipeline(spark):
+    docs = table(spark, SF, "documents")
+    given = {r["doc_id"] for r in docs.collect()}
+    left = [docs]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left.append(stage(spark, left[-1], SF).cache())
+        assert left[-1].columns == docs.columns
+        ids = [r["doc_id"] for r in left[-1].collect()]
+        assert ids and set(ids) <= given
+        given = set(ids)
+    quality = {r["doc_id"] for r in QUERIES["op5_quality"](spark, SF).filter("kept").collect()}
+    assert {r["doc_id"] for r in left[1].collect()} == quality
+    rows = corpus_pipeline.STAGES[-1][1](spark, left[-1], SF).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in left[-1].collect())
+    for df in left[1:]:
+        df.unpersist()
