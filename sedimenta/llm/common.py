@@ -61,6 +61,7 @@ ARROW = {
     "string": pa.string(),
     "binary": pa.binary(),
     "array<int>": pa.list_(pa.int32()),
+    "array<float>": pa.list_(pa.float32()),
     "array<long>": pa.list_(pa.int64()),
 }
 

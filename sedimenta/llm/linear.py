@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.common import held_out
 
 # A model learns from at most this many rows, and from none longer than MAX_BYTES.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 12_000
 MAX_BYTES = 32_768
 
 
@@ -38,6 +39,20 @@ def labelled_sample(
     return texts.join(F.broadcast(chosen), id_col).select("label", "text", F.xxhash64(id_col).alias("order"))
 
 
+def collected(sample: DataFrame, *lists: str) -> tuple[np.ndarray, list[list[np.ndarray]]]:
+    """Labels, and the arrays of each list column, of a bounded sample in its order."""
+    table = sample.toArrow().combine_chunks()
+    order = np.argsort(table.column("order").to_numpy(), kind="stable")
+    found = []
+    for name in lists:
+        column = table.column(name)
+        column = column.chunk(0) if column.num_chunks else pa.array([], column.type)
+        flat = column.flatten().to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).astype(int)
+        found.append([flat[ends[i]: ends[i + 1]] for i in order])
+    return table.column("label").to_numpy()[order], found
+
+
 @dataclass
 class Rows:
     """Rows of (feature, value) pairs, one after the other."""

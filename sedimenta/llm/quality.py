@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.llm.common import fresh, held_out, map_texts
-from sedimenta.llm.linear import SAMPLE_ROWS, AdaGrad, gather, labelled_sample, sigmoid
+from sedimenta.llm.linear import AdaGrad, collected, gather, labelled_sample, sigmoid
 
 BITS = 22
+ROWS = 8_000
 LEAST_ROWS = 10
 EPOCHS = 15
 BATCH = 256
@@ -78,7 +79,7 @@ class Features(dict):
             lines = [x for x in (text or "").split("\n") if x]
             values[self.of(f"u{10 * len(different) // n}")] = 1.0
             values[self.of(f"l{10 * len(set(lines)) // max(1, len(lines))}")] = 1.0
-        return np.fromiter(values.keys(), np.int64, len(values)), np.fromiter(values.values(), float, len(values))
+        return np.fromiter(values.keys(), np.int32, len(values)), np.fromiter(values.values(), np.float32, len(values))
 
 
 @dataclass(frozen=True)
@@ -145,7 +146,7 @@ def fit(features: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", rows: int = SAMPLE_ROWS, bits: int = BITS) -> Ordinal:
+          label_col: str = "quality", rows: int = ROWS, bits: int = BITS) -> Ordinal:
     sample = labelled_sample(docs, labels, label_col, id_col, text_col, rows)
 
     def start():
@@ -153,23 +154,22 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
         def work(texts):
             read = [features.read(t) for t in texts]
-            return [[f for f, _ in read], [v.tobytes() for _, v in read]]
+            return [[f for f, _ in read], [v for _, v in read]]
 
         return work
 
     found = map_texts(sample, ["label", "order"], "text",
-                      [("features", "array<long>"), ("worth", "binary")], start)
-    found = found.toPandas().sort_values("order", kind="stable")
-    return fit([np.asarray(f, dtype=np.int64) for f in found["features"]],
-               [np.frombuffer(v) for v in found["worth"]], found["label"].to_numpy(), bits)
+                      [("features", "array<int>"), ("worth", "array<float>")], start)
+    given, (features, values) = collected(found, "features", "worth")
+    return fit(features, values, given, bits)
 
 
 def _judge(model: Ordinal, texts, features: Features) -> tuple[np.ndarray, np.ndarray]:
     read = [features.read(t) for t in texts]
     sizes = [len(f) for f, _ in read]
     row = np.repeat(np.arange(len(read)), sizes)
-    feature = np.concatenate([f for f, _ in read]) if read else np.zeros(0, dtype=np.int64)
-    value = np.concatenate([v for _, v in read]) if read else np.zeros(0)
+    feature = np.concatenate([f for f, _ in read]) if read else np.zeros(0, dtype=np.int32)
+    value = np.concatenate([v for _, v in read]) if read else np.zeros(0, dtype=np.float32)
     tails = model.tails(row, feature, value, len(read))
     return model.expected(tails), tails
 

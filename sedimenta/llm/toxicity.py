@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.common import held_out, map_texts
-from sedimenta.llm.linear import SAMPLE_ROWS, AdaGrad, Rows, gather, labelled_sample, sigmoid
+from sedimenta.llm.linear import SAMPLE_ROWS, AdaGrad, collected, gather, labelled_sample, sigmoid
 
 BITS = 22
 FACTORS = 8
@@ -139,9 +139,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     sample = labelled_sample(docs, labels, label_col, id_col, text_col, rows)
     found = map_texts(sample, ["label", "order"], "text", [("terms", "array<int>")],
                       lambda: lambda texts: [[terms(t, bits) for t in texts]])
-    found = found.toPandas().sort_values("order", kind="stable")
-    sets = [np.asarray(t, dtype=np.int64) for t in found["terms"]]
-    return fit(sets, found["label"].to_numpy(), bits)
+    given, (sets,) = collected(found, "terms")
+    return fit(sets, given, bits)
 
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
