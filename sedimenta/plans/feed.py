@@ -65,6 +65,8 @@ TABLES = {
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
 }
 
+PARTITIONS = "sedimenta.feed.partitions"
+
 LINE_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 # A week is processed on Tuesday to Thursday of the next one.
@@ -108,9 +110,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _partitions(spark: SparkSession) -> int | None:
+    """Tasks that the lines are spread over, if the session asks for it."""
+    asked = spark.conf.get(PARTITIONS, None)
+    return int(asked) if asked else None
+
+
 def feed_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every purchase line, with the flags the other views are made of."""
-    lines = spread(_table(spark, sf_dir, "lineitem"), *LINE_KEYS)
+    lines = spread(_table(spark, sf_dir, "lineitem"), _partitions(spark), *LINE_KEYS)
     orders, part, supplier = (_table(spark, sf_dir, t) for t in ("orders", "part", "supplier"))
     return (
         lines.join(orders, F.expr("l_orderkey = o_orderkey"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -17,8 +16,6 @@ RECOMMENDED = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
-_local_scratch: list[tempfile.TemporaryDirectory] = []
-
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -53,14 +50,10 @@ def object_store_options(
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, visible to every executor.
 
-    The shared folder is the one named by ``spark.checkpoint.dir``. Only a
-    local-mode session without that setting falls back to a temporary folder.
+    The shared folder is the one named by ``spark.checkpoint.dir``; a session without
+    that setting uses its warehouse, which all executors share too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        if not _local_scratch:
-            _local_scratch.append(tempfile.TemporaryDirectory(prefix="sedimenta-"))
-        base = _local_scratch[0].name
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

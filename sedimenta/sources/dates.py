@@ -2,9 +2,8 @@
 
 A set of dates has at most one member per calendar day (the date type holds
 3,652,059 of them), so it is small whatever the number of rows behind it, and may
-be evaluated on the driver. Up to ``LITERAL_LIMIT`` dates become an IN list, which
-prunes lake folders statically and is pushed into JDBC sources. A larger set is
-applied as a broadcast semi-join, under the same bound.
+be evaluated on the driver. It becomes an IN list, which prunes lake folders
+statically and is pushed into JDBC sources.
 """
 
 from __future__ import annotations
@@ -16,14 +15,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LITERAL_LIMIT = 4000
-
 
 @dataclass(frozen=True)
 class DateSet:
     column: str
     dates: tuple[dt.date, ...]
-    literal_limit: int = LITERAL_LIMIT
 
     def __bool__(self) -> bool:
         return bool(self.dates)
@@ -36,10 +32,8 @@ class DateSet:
         column = column or self.column
         if not self.dates:
             return df.where(F.lit(False))
-        if len(self.dates) <= self.literal_limit:
-            days = ", ".join(f"DATE'{d:%Y-%m-%d}'" for d in self.dates)
-            return df.where(f"`{column}` IN ({days})")
-        return df.join(F.broadcast(self.frame(df.sparkSession, column)), column, "left_semi")
+        days = ", ".join(f"DATE'{d:%Y-%m-%d}'" for d in self.dates)
+        return df.where(f"`{column}` IN ({days})")
 
 
 def make_date_set(column: str, dates: Iterable[dt.date]) -> DateSet:
