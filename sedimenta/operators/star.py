@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.scalars import cast_as, clean_text, run_stamp, surrogate_key
@@ -71,15 +70,26 @@ def build_dimensions(silver: DataFrame, specs: Iterable[DimensionSpec] = DIMENSI
     return {s.table: build_dimension(silver, s, run_ts) for s in specs}
 
 
-def orphan_counts(fact: DataFrame, dimensions: dict[KeySpec, DataFrame]) -> DataFrame:
-    """Per key, the number of distinct fact keys without a dimension member."""
-    counts = []
-    for key, dimension in dimensions.items():
-        used = fact.where(F.col(key.name).isNotNull()).select(key.name).distinct()
-        orphans = used.join(dimension.select(key.name), key.name, "left_anti")
-        counts.append(
-            orphans.agg(F.count(F.lit(1)).alias("orphans")).select(
-                F.lit(key.name).alias("key_name"), "orphans"
-            )
-        )
-    return reduce(DataFrame.unionByName, counts)
+def member_keys(silver: DataFrame, specs: Iterable[DimensionSpec] = DIMENSIONS) -> DataFrame:
+    """(key_name, key) of every member of every dimension, in one pass over silver."""
+    return _keys(silver, [(s.key.name, fact_key(s.key)) for s in specs])
+
+
+def orphan_counts(fact: DataFrame, members: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Per key, the number of distinct fact keys without a dimension member.
+
+    Each side is read once: its keys become rows of (name, key), which the partial
+    aggregate folds, and one anti-join compares all keys at a time.
+    """
+    names = list(names)
+    used = _keys(fact, [(name, F.col(name)) for name in names])
+    orphans = used.join(members, ["key_name", "key"], "left_anti").groupBy("key_name").count()
+    listed = fact.sparkSession.createDataFrame([(n,) for n in names], "key_name string")
+    return listed.join(orphans, "key_name", "left").select(
+        "key_name", F.coalesce("count", F.lit(0)).alias("orphans")
+    )
+
+
+def _keys(df: DataFrame, keys: list[tuple[str, Column]]) -> DataFrame:
+    pairs = [F.struct(F.lit(name).alias("key_name"), key.alias("key")) for name, key in keys]
+    return df.select(F.explode(F.array(*pairs)).alias("k")).select("k.*").where("key IS NOT NULL").distinct()
