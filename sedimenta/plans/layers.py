@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Protocol
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
-from sedimenta.operators.merge import plan_repair, repair
+from sedimenta.operators.merge import (
+    changed_dates,
+    incoming_rows,
+    initial_load,
+    narrowed,
+    plan_repair,
+    repaired,
+)
 from sedimenta.operators.reconcile import candidate_dates, reconcile
 from sedimenta.operators.rollup import monthly_rollup
 from sedimenta.operators.star import build_fact
 from sedimenta.purchases import DIMENSIONS, FACT, LAYOUT, RECENT_DAYS, ROLLUP
-from sedimenta.sinks.partitions import write_partitions
+from sedimenta.sinks.partitions import cluster_for_write, write_partitions
 from sedimenta.sinks.tables import LoadMetrics, PublishResult, publish_dimensions, publish_fact
 from sedimenta.sources.dates import DateSet, date_set
 from sedimenta.sources.lake import read_lake
@@ -28,7 +36,7 @@ class DatedTable(Protocol):
 
     def read(self, spark: SparkSession) -> DataFrame: ...
 
-    def read_dates(self, spark: SparkSession, dates: Iterable[dt.date]) -> DataFrame: ...
+    def read_dates(self, spark: SparkSession, dates: Iterable[dt.date], scans: int = 1) -> DataFrame: ...
 
     def distinct_dates(self, spark: SparkSession) -> DataFrame: ...
 
@@ -46,10 +54,10 @@ def _whole(spark: SparkSession, feed: DataFrame | DatedTable) -> DataFrame:
     return feed if isinstance(feed, DataFrame) else feed.read(spark)
 
 
-def _of_dates(spark: SparkSession, feed: DataFrame | DatedTable, *sets: DateSet) -> DataFrame:
+def _of_dates(spark: SparkSession, feed: DataFrame | DatedTable, dates: DateSet, scans: int) -> DataFrame:
     if isinstance(feed, DataFrame):
-        return feed
-    return feed.read_dates(spark, [d for dates in sets for d in dates.dates])
+        return dates.restrict(feed)
+    return feed.read_dates(spark, dates.dates, scans)
 
 
 @dataclass(frozen=True)
@@ -68,7 +76,8 @@ class Settings:
     reread_daily: bool = False
     prune_stale: bool = False
     processing_follows_issue: bool = False
-    stage_path: str | None = None
+    year_from: str = "processing"
+    stage_database: str = "default"
     table_format: str | None = "parquet"
 
 
@@ -86,33 +95,73 @@ def refresh_bronze(spark: SparkSession, feeds: Feeds, settings: Settings) -> tup
     """
     layout, date = settings.layout, settings.layout.date
     as_of, days = settings.as_of, settings.recent_days
+    drop_kept(spark, settings, "incoming")
+    finish_staged(spark, settings)
     lake = read_lake(spark, settings.bronze_path, settings.bronze_schema)
     dated = feeds.late if isinstance(feeds.late, DataFrame) else feeds.late.distinct_dates(spark)
     candidates = date_set(candidate_dates(dated, as_of, days, date), date)
     report = reconcile(lake, dated, _whole(spark, feeds.totals), as_of, days, date, candidates)
     plan = plan_repair(report, layout)
+    # Each date is asked for once, and the scans that may overlap share the connections
+    # of a table read by date.
+    scans = 4 if settings.reread_daily else 3
+    incoming = None
+    if plan.merge:
+        again = _of_dates(spark, feeds.daily, plan.merge, scans) if settings.reread_daily else None
+        incoming = incoming_rows(again, _of_dates(spark, feeds.late, plan.merge, scans))
+        # Compared first and merged then: written once, so the source is not asked again.
+        table = _kept(incoming, settings, "incoming")
+        incoming = spark.table(table)
+        changed = changed_dates(plan.merge.restrict(lake, date), incoming, layout)
+        plan = narrowed(plan, changed, layout)
     if plan:
-        reread = [plan.merge] if settings.reread_daily else []
-        daily = _of_dates(spark, feeds.daily, plan.load, *reread)
-        late = _of_dates(spark, feeds.late, plan.load, plan.merge)
-        repaired = repair(lake, daily, late, plan, layout, settings.reread_daily)
-        staged = settings.stage_path is not None
-        if staged:
-            repaired = stage(repaired, settings)
-        write_partitions(repaired, settings.bronze_path, layout.columns, cluster=not staged)
+        daily = _of_dates(spark, feeds.daily, plan.load, scans)
+        late = _of_dates(spark, feeds.late, plan.load, scans)
+        loaded = initial_load(daily, late)
+        incoming = loaded.where("1 = 0") if incoming is None else plan.merge.restrict(incoming, date)
+        rows = repaired(plan.merge.restrict(lake, date), incoming, loaded, layout)
+        stage(rows, settings)
+        finish_staged(spark, settings)
+    drop_kept(spark, settings, "incoming")
     return plan.report
 
 
-def stage(repaired: DataFrame, settings: Settings) -> DataFrame:
+def _prefix(settings: Settings, kind: str) -> str:
+    lake = hashlib.sha256(settings.bronze_path.rstrip("/").encode()).hexdigest()[:12]
+    return f"{kind}_{lake}_"
+
+
+def _kept(rows: DataFrame, settings: Settings, kind: str) -> str:
+    """Write rows as a table of their own; it exists only once it is whole."""
+    name = f"{settings.stage_database}.{_prefix(settings, kind)}{uuid.uuid4().hex}"
+    rows.write.format("parquet").saveAsTable(name)
+    return name
+
+
+def _kept_tables(spark: SparkSession, settings: Settings, kind: str) -> list[str]:
+    found = spark.sql(f"SHOW TABLES IN {settings.stage_database} LIKE '{_prefix(settings, kind)}*'")
+    return [f"{settings.stage_database}.{r['tableName']}" for r in found.collect()]
+
+
+def drop_kept(spark: SparkSession, settings: Settings, kind: str) -> None:
+    for name in _kept_tables(spark, settings, kind):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def stage(rows: DataFrame, settings: Settings) -> str:
     """Keep a finished copy of the repaired dates before the lake is touched.
 
-    Replacing folders deletes before it renames. If the driver dies in between,
-    the dates are still whole in the copy: writing it to the lake again with
-    ``write_partitions`` completes the run. Old copies may be expired at will.
+    Replacing folders deletes before it renames. A driver that dies in between leaves
+    the copy, from which the next run completes the lake.
     """
-    path = f"{settings.stage_path.rstrip('/')}/repair-{uuid.uuid4().hex}"
-    write_partitions(repaired, path, settings.layout.columns)
-    return read_lake(repaired.sparkSession, path, settings.bronze_schema)
+    return _kept(cluster_for_write(rows, settings.layout.columns), settings, "repair")
+
+
+def finish_staged(spark: SparkSession, settings: Settings) -> None:
+    """Write every finished copy to the lake, then drop it."""
+    for name in _kept_tables(spark, settings, "repair"):
+        write_partitions(spark.table(name), settings.bronze_path, settings.layout.columns)
+        spark.sql(f"DROP TABLE {name}")
 
 
 def refresh_silver(spark: SparkSession, settings: Settings) -> None:
@@ -124,6 +173,7 @@ def refresh_silver(spark: SparkSession, settings: Settings) -> None:
     bronze = read_lake(spark, settings.bronze_path, settings.bronze_schema)
     rollup = monthly_rollup(
         bronze, settings.rollup, settings.as_of, settings.run_ts,
+        year_from=settings.year_from,
         prune_by=settings.layout.date if settings.processing_follows_issue else None,
     )
     write_partitions(rollup, settings.silver_path, [settings.rollup.year_key],
@@ -142,9 +192,11 @@ def read_silver(spark: SparkSession, settings: Settings) -> DataFrame:
 
 
 def refresh_fact(spark: SparkSession, settings: Settings) -> LoadMetrics:
-    fact = build_fact(read_silver(spark, settings), settings.fact, settings.run_ts)
+    silver = read_silver(spark, settings)
+    fact = build_fact(silver, settings.fact, settings.run_ts)
+    # One fact row per rollup row; counting those reads file footers only.
     return publish_fact(fact, settings.fact, f"{settings.database}.{settings.fact.table}",
-                        settings.table_format)
+                        settings.table_format, silver.count())
 
 
 def refresh_dimensions(spark: SparkSession, settings: Settings) -> list[PublishResult]:
@@ -152,12 +204,20 @@ def refresh_dimensions(spark: SparkSession, settings: Settings) -> list[PublishR
                               settings.database, settings.run_ts, settings.table_format)
 
 
+def resolved(settings: Settings) -> Settings:
+    """One date and one stamp for the whole run, however long it takes."""
+    now = dt.datetime.now()
+    return replace(settings, as_of=now.date() if settings.as_of is None else settings.as_of,
+                   run_ts=now if settings.run_ts is None else settings.run_ts)
+
+
 def run_layers(spark: SparkSession, feeds: Feeds, settings: Settings) -> RunResult:
     """All layers in dependency order. Running it again changes nothing.
 
     A failing bronze or silver step stops the run. The dimensions do not depend on
     the fact: they are published even if it fails, and its error is raised after.
     """
+    settings = resolved(settings)
     result = RunResult()
     result.report = refresh_bronze(spark, feeds, settings)
     refresh_silver(spark, settings)

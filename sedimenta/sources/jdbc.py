@@ -15,8 +15,10 @@ class JdbcTable:
     """One operational table. Credentials come in as caller options only.
 
     ``split_column`` (an integer column) cuts each date into ``splits`` queries, so
-    that one heavy date is not one task. ``max_connections`` bounds how many queries
-    the database serves at a time, whatever the size of the cluster.
+    that one heavy date is not one task: into ranges between ``split_bounds``, which an
+    index serves, or by remainder without bounds. ``max_connections`` bounds how many
+    queries the database serves at a time, whatever the size of the cluster; scans that
+    may run at once share it.
     """
 
     url: str
@@ -25,6 +27,7 @@ class JdbcTable:
     date_column: str = "proc_date"
     split_column: str | None = None
     splits: int = 1
+    split_bounds: tuple[int, int] | None = None
     max_connections: int = 32
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -35,15 +38,20 @@ class JdbcTable:
         """
         return self._load(spark, self.table)
 
-    def read_dates(self, spark: SparkSession, dates: Iterable[dt.date]) -> DataFrame:
-        """The rows of the given dates, one or more queries per date."""
-        predicates = date_predicates(self.date_column, dates, self.split_column, self.splits)
+    def read_dates(self, spark: SparkSession, dates: Iterable[dt.date], scans: int = 1) -> DataFrame:
+        """The rows of the given dates, one or more queries per date.
+
+        ``scans`` is the number of reads that this one shares the connections with,
+        itself included.
+        """
+        predicates = date_predicates(
+            self.date_column, dates, self.split_column, self.splits, self.split_bounds)
         if not predicates:
             return self.read(spark).where(F.lit(False))
         rows = spark.read.jdbc(
             self.url, self.table, predicates=predicates, properties=self._properties()
         )
-        return rows.coalesce(self.max_connections)
+        return rows.coalesce(max(1, self.max_connections // scans))
 
     def distinct_dates(self, spark: SparkSession) -> DataFrame:
         """The dates that have rows, made distinct by the database."""
@@ -72,6 +80,7 @@ def date_predicates(
     dates: Iterable[dt.date],
     split_column: str | None = None,
     splits: int = 1,
+    bounds: tuple[int, int] | None = None,
 ) -> list[str]:
     """WHERE clauses that cover the rows of ``dates`` exactly once."""
     days = sorted(set(dates))
@@ -81,8 +90,18 @@ def date_predicates(
     for d in days:
         for part in range(splits):
             # NULLs of the split column belong to the first part.
-            share = f"ABS(MOD({split_column}, {splits})) = {part}"
+            share = _range(split_column, splits, bounds, part) if bounds else (
+                f"ABS(MOD({split_column}, {splits})) = {part}")
             if part == 0:
                 share = f"({share} OR {split_column} IS NULL)"
             predicates.append(f"{date_column} = DATE '{d:%Y-%m-%d}' AND {share}")
     return predicates
+
+
+def _range(column: str, splits: int, bounds: tuple[int, int], part: int) -> str:
+    """One of ``splits`` ranges; the first and the last are open, so no row is left out."""
+    low, high = bounds
+    edges = [low + (high + 1 - low) * i // splits for i in range(splits + 1)]
+    limits = [f"{column} >= {edges[part]}"] if part else []
+    limits += [f"{column} < {edges[part + 1]}"] if part < splits - 1 else []
+    return " AND ".join(limits)

@@ -12,6 +12,7 @@ from sedimenta.sinks.delimited import write_delimited
 from sedimenta.sinks.jdbc import column_types, register_jdbc_catalog
 from sedimenta.sinks.partitions import write_partitions
 from sedimenta.session import object_store_options, scratch_path
+from sedimenta.sources.dates import DateSet
 from sedimenta.sources.delimited import read_delimited
 from sedimenta.sources.jdbc import JdbcTable, date_predicates, distinct_dates_query
 from sedimenta.sources.lake import lake_schema, read_lake, with_partition_columns
@@ -115,13 +116,25 @@ def test_lake_scan_is_pruned(spark, tmp_path):
     assert "ReadSchema: struct<ean:string,issue_date:date>" in plan
 
 
-def test_only_few_files_are_spread(spark, tmp_path):
-    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+def test_many_dates_prune_the_lake(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    write_partitions(lake_rows(spark, [row(proc_date=FEB), row(proc_date=MAR)]), path, LAYOUT.columns)
+    days = [dt.date(1990, 1, 1) + dt.timedelta(days=n) for n in range(5000)]
+    chosen = DateSet("proc_date", tuple(days))
+    df = chosen.restrict(read_lake(spark, path, LAKE_SCHEMA))
+    plan = plan_of(df)
+    assert "Join" not in plan
+    filters = next(line for line in plan.splitlines() if line.startswith("PartitionFilters"))
+    assert "proc_date" in filters and ("IN" in filters.upper())
+    assert df.count() == sum(d in days for d in (FEB, MAR))
+
+
+def test_spreading_is_up_to_the_caller(spark, tmp_path):
+    one = str(tmp_path / "one")
     spark.range(100).coalesce(1).write.parquet(one)
-    spark.range(100).repartition(8).write.parquet(many)
-    assert spread(spark.read.parquet(one), "id").rdd.getNumPartitions() == 8
-    assert "Exchange" not in plan_of(spread(spark.read.parquet(many), "id"))
-    plan = plan_of(spread(spark.read.parquet(one), "id").where("id > 90"))
+    assert spread(spark.read.parquet(one), 8, "id").rdd.getNumPartitions() == 8
+    assert "Exchange" not in plan_of(spread(spark.read.parquet(one), None, "id"))
+    plan = plan_of(spread(spark.read.parquet(one), 8, "id").where("id > 90"))
     assert "GreaterThan(id,90)" in plan
 
 
@@ -255,14 +268,24 @@ def test_scratch_follows_the_checkpoint_setting(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
+def test_scratch_falls_back_to_the_warehouse():
     class Conf:
-        def get(self, key, default):
-            return default
+        def get(self, key, default=None):
+            return "hdfs://x/warehouse/" if key == "spark.sql.warehouse.dir" else default
+
+    session = SimpleNamespace(conf=Conf())
+    assert scratch_path(session, "x").startswith("hdfs://x/warehouse/_scratch/x-")
+
+
+def test_jdbc_ranges_cover_each_row_once(spark):
+    found = date_predicates("d", [FEB], "id", 3, (0, 9))
+    rows = spark.createDataFrame([(FEB, i) for i in [*range(-3, 15), None]], "d date, id int")
+    parts = [rows.where(p).count() for p in found]
+    assert sum(parts) == 19 and min(parts) > 0
+    assert not any("MOD" in p for p in found)
 
-    class Cluster:
-        conf = Conf()
-        sparkContext = type("C", (), {"master": "spark://host"})
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_path(Cluster(), "x")
+def test_jdbc_scans_share_the_connections(spark):
+    session = SimpleNamespace(read=Reader(spark.range(0, 100, 1, 50)))
+    table = JdbcTable("jdbc:x", "t", date_column="d", max_connections=32)
+    assert sum(table.read_dates(session, [FEB], 3).rdd.getNumPartitions() for _ in range(3)) <= 32
