@@ -194,6 +194,44 @@ def orphans() -> str:
     return f"WITH {SILVER}" + "\n  UNION ALL".join(selects)
 
 
+AGAIN = f"""{REPAIRED},
+again AS (
+  SELECT * FROM lake WHERE proc_date NOT IN (SELECT proc_date FROM report WHERE diverged)
+  UNION ALL SELECT * FROM merged
+  UNION ALL SELECT * FROM loaded
+),
+still AS (
+  SELECT l.proc_date
+  FROM looked_at l
+  JOIN (SELECT proc_date, count(*) AS n FROM again GROUP BY proc_date) a ON l.proc_date = a.proc_date
+  LEFT JOIN (SELECT proc_date, sum(expected_rows) AS n FROM totals GROUP BY proc_date) e
+    ON l.proc_date = e.proc_date
+  WHERE coalesce(e.n, 0) <> a.n
+),
+lacking AS (SELECT *, 'LATE' AS origin FROM feed_late EXCEPT SELECT * FROM again),
+repeated AS (SELECT *, count(*) AS n FROM again GROUP BY ALL HAVING count(*) > 1)
+SELECT proc_date,
+       proc_date IN (SELECT proc_date FROM lacking) OR proc_date IN (SELECT proc_date FROM repeated) AS changed
+FROM still"""
+
+
+def published() -> str:
+    columns = {
+        "dim_manufacturer": ("manufacturer_id", "manufacturer", None),
+        "dim_supplier": ("supplier_id", "supplier", "supplier_tax_id"),
+        "dim_brand": ("brand_id", "brand_name", None),
+        "dim_group": ("group_id", "product_group", "subclass"),
+        "dim_product": ("product_id", "ean", "product"),
+    }
+    selects = [
+        f"SELECT '{table}' AS table_name, {key_name} AS member_key, {first} AS first_attribute, "
+        f"CAST({second or 'NULL'} AS VARCHAR) AS second_attribute, issue_month, "
+        f"'2001-08-15 03:00:00' AS stamp FROM ({DIMENSIONS[table]}) d"
+        for table, (key_name, first, second) in columns.items()
+    ]
+    return f"WITH {SILVER} " + " UNION ALL ".join(selects)
+
+
 def sizes() -> str:
     counted = ["bronze", "silver"]
     selects = [
@@ -251,6 +289,8 @@ SELECT *, {FOLDERS} FROM (
    UNION SELECT *, 'DAILY' AS origin FROM feed_daily WHERE proc_date IN {DIVERGED})
   UNION ALL SELECT * FROM loaded
 ) r""",
+    "repair_again": f"WITH {AGAIN}",
+    "published_dimensions": published(),
     "bronze_partition_roundtrip": f"""WITH {SOURCES}
 SELECT *, {FOLDERS} FROM (
   SELECT *, 'DAILY' AS origin FROM feed_daily

@@ -74,8 +74,7 @@ def dimension(spec: DimensionSpec) -> Callable[[SparkSession, str], DataFrame]:
 def fact_key_integrity(spark, sf_dir):
     rows = stored_silver(spark, sf_dir)
     fact = star.build_fact(rows, stamp=False, extra_keys=[P.SUPPLIER_KEY])
-    members = {d.key: star.build_dimension(rows, d, stamp=False) for d in P.DIMENSIONS}
-    return star.orphan_counts(fact, members)
+    return star.orphan_counts(fact, star.member_keys(rows), [d.key.name for d in P.DIMENSIONS])
 
 
 def expected_counts(spark, sf_dir):
@@ -137,6 +136,23 @@ def repair_reread_daily(spark, sf_dir):
     return _repair(spark, sf_dir, reread_daily=True)
 
 
+def repair_again(spark, sf_dir):
+    """The dates that still diverge after a repair, and whether they would be written again."""
+    lines = feed.stored_feed(spark, sf_dir)
+    late = feed.late_source(lines)
+    plan = merge.plan_repair(_report(lines))
+    fixed = merge.repair(feed.lake(lines), feed.daily_source(lines), late, plan)
+    path = scratch_path(spark, "bronze")
+    write_partitions(feed.lake(lines), path, P.LAYOUT.columns)
+    fixed = fixed.select(*read_lake(spark, path, feed.LAKE_SCHEMA).columns)
+    write_partitions(fixed, path, P.LAYOUT.columns)
+    stored = read_lake(spark, path, feed.LAKE_SCHEMA)
+    again = merge.plan_repair(reconcile.reconcile(stored, late, feed.totals(lines), feed.AS_OF))
+    date = P.LAYOUT.date
+    incoming = merge.incoming_rows(None, again.merge.restrict(late, date))
+    return merge.changed_dates(again.merge.restrict(stored, date), incoming)
+
+
 def bronze_partition_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "bronze")
     rows = with_partition_columns(initial_load(spark, sf_dir), P.LAYOUT)
@@ -166,6 +182,29 @@ def swap_publish(spark, sf_dir):
     return spark.table(table).drop(P.FACT.row_id, P.FACT.stamp)
 
 
+def published_dimensions(spark, sf_dir):
+    """What readers find in every published dimension, one row per member."""
+    database = scratch_database(spark, "dims")
+    results = tables.publish_dimensions(stored_silver(spark, sf_dir), P.DIMENSIONS, database, RUN_TS)
+    failed = [r for r in results if not r.ok]
+    if failed:
+        raise RuntimeError("; ".join(f"{r.table}: {r.error}" for r in failed))
+    return reduce(DataFrame.unionByName, [_published(spark, database, d) for d in P.DIMENSIONS])
+
+
+def _published(spark, database, spec):
+    names = [spec.output_name(a) for a in spec.attributes]
+    second = F.col(names[1]) if len(names) > 1 else F.lit(None).cast("string")
+    return spark.table(f"{database}.{spec.table}").select(
+        F.lit(spec.table).alias("table_name"),
+        F.col(spec.key.name).alias("member_key"),
+        F.col(names[0]).alias("first_attribute"),
+        second.alias("second_attribute"),
+        spec.month,
+        F.date_format(spec.stamp, "yyyy-MM-dd HH:mm:ss").alias("stamp"),
+    )
+
+
 def load_metrics(spark, sf_dir):
     table = f"{scratch_database(spark, 'metrics')}.{P.FACT.table}"
     fact = star.build_fact(silver(spark, sf_dir), run_ts=RUN_TS)
@@ -245,10 +284,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_merge": late_merge,
     "repair_all": repair_all,
     "repair_reread_daily": repair_reread_daily,
+    "repair_again": repair_again,
     "bronze_partition_roundtrip": bronze_partition_roundtrip,
     "silver_partition_overwrite": silver_partition_overwrite,
     "delimited_roundtrip": delimited_roundtrip,
     "swap_publish": swap_publish,
+    "published_dimensions": published_dimensions,
     "load_metrics": load_metrics,
     "fact_row_ids": fact_row_ids,
     "layered_run": layered_run,

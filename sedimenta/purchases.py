@@ -73,6 +73,8 @@ FACT = FactSpec(
     ),
     month="issue_month",
     totals=("amount",),
+    lookups=("product_id", "brand_id", "manufacturer_id", "group_id",
+             "supplier_tax_id", "store_tax_id", "issue_month"),
 )
 
 DIM_MANUFACTURER = DimensionSpec(

@@ -11,7 +11,7 @@ import time
 import uuid
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -23,6 +23,10 @@ from sedimenta.sinks.partitions import cluster_for_write
 from sedimenta.specs import DimensionSpec, FactSpec
 
 
+# Between the name of a published table and the mark of one of its versions.
+VERSION = "__v_"
+
+
 class PublishError(RuntimeError):
     """The staged table is not what was loaded; the live table was left alone."""
 
@@ -85,9 +89,13 @@ def lookup_layout(df: DataFrame, month: str, columns: Sequence[str]) -> DataFram
 
 
 def create_table(spark: SparkSession, table: str, columns: Sequence[tuple[str, str]],
-                 using: str | None = "parquet") -> None:
+                 using: str | None = "parquet", lookups: Iterable[str] = ()) -> None:
+    """A typed table. In Parquet, ``lookups`` get Bloom filters in every row group."""
     body = ", ".join(f"`{name}` {kind}" for name, kind in columns)
     provider = f" USING {using}" if using else ""
+    if using == "parquet" and (names := list(lookups)):
+        switches = ", ".join(f"'parquet.bloom.filter.enabled#{c}'='true'" for c in names)
+        provider += f" OPTIONS ({switches})"
     spark.sql(f"CREATE TABLE {table} ({body}){provider}")
 
 
@@ -121,10 +129,10 @@ def _renamed(spark: SparkSession, source: str, target: str) -> None:
 
 
 def swap_table(spark: SparkSession, live: str, staging: str) -> None:
-    """Put ``staging`` in the place of ``live``.
+    """Put ``staging`` in the place of ``live`` by renaming, as a database does it.
 
     Two renames are not one atomic step. When the second fails the first is undone,
-    and a run that died between them is healed at the start of the next one.
+    and a run that died between them is healed at the start of the next ``publish``.
     """
     old = f"{live}_old"
     restore_interrupted_swap(spark, live)
@@ -150,42 +158,73 @@ def restore_interrupted_swap(spark: SparkSession, live: str) -> bool:
     return True
 
 
+def repoint_view(spark: SparkSession, live: str, version: str) -> None:
+    """Make ``live`` a view of ``version``: one catalog step, and no file moves.
+
+    A plain table of that name, from before there were versions, becomes one.
+    """
+    if spark.catalog.tableExists(live) and spark.catalog.getTable(live).tableType != "VIEW":
+        _renamed(spark, live, f"{live}{VERSION}{uuid.uuid4().hex}")
+    spark.sql(f"CREATE OR REPLACE VIEW {live} AS SELECT * FROM {version}")
+    drop_versions(spark, live, version)
+
+
+def drop_versions(spark: SparkSession, live: str, kept: str | None) -> None:
+    """Drop the stored versions of a published table but one."""
+    database, _, name = live.rpartition(".")
+    found = spark.sql(f"SHOW TABLES{' IN ' + database if database else ''} LIKE '{name}{VERSION}*'")
+    for row in found.collect():
+        version = f"{database}.{row['tableName']}" if database else row["tableName"]
+        if kept is None or version.lower() != kept.lower():
+            spark.sql(f"DROP TABLE IF EXISTS {version}")
+
+
 def publish(df: DataFrame, table: str, columns: Sequence[tuple[str, str]],
             sums: Iterable[str] = (), using: str | None = "parquet",
-            expected_rows: int | None = None,
-            unique_key: str | None = None) -> LoadMetrics:
-    """Load ``df`` into a typed staging table, check it and swap it in.
-
-    On any failure the staging table is dropped and the live table is unchanged.
-    ``unique_key`` also checks that no two staged rows share that column, which is
-    what the primary key of a dimension enforces.
+            expected_rows: int | None = None, unique_key: str | None = None,
+            lookups: Iterable[str] = ()) -> LoadMetrics:
+    """Load ``df`` into a typed staging table, check it and put it live.
+
+    Tables stored as files (``using``) are a table per run behind a view; a catalog that
+    stores tables itself has them renamed. On any failure the staging table is dropped
+    and the live table is unchanged; what an earlier run left half swapped is restored
+    before anything else. ``unique_key`` also checks that no two staged rows share that
+    column, which is what the primary key of a dimension enforces.
     """
     spark = df.sparkSession
-    staging = f"{table}_new"
+    restore_interrupted_swap(spark, table)
+    staging = f"{table}{VERSION}{uuid.uuid4().hex}" if using else f"{table}_new"
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     try:
-        create_table(spark, staging, columns, using)
+        create_table(spark, staging, columns, using, lookups)
         metrics = load_table(df, staging, sums, expected_rows)
         staged = spark.table(staging)
         stored = staged.count()
         if stored != metrics.rows:
             raise PublishError(f"{staging} holds {stored} rows, {metrics.rows} were loaded")
+        if expected_rows is not None and stored > expected_rows:
+            raise PublishError(f"{staging} holds {stored} rows, {expected_rows} were expected")
         if unique_key is not None:
             repeated = staged.groupBy(unique_key).count().where("count > 1").limit(1)
             if not repeated.isEmpty():
                 raise PublishError(f"{staging}.{unique_key} is not unique")
-        swap_table(spark, table, staging)
+        if using:
+            repoint_view(spark, table, staging)
+        else:
+            create_indexes(spark, staging, lookups)
+            swap_table(spark, table, staging)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
         raise
-    return metrics
+    return replace(metrics, table=table)
 
 
-def publish_fact(fact: DataFrame, spec: FactSpec, table: str,
-                 using: str | None = "parquet") -> LoadMetrics:
+def publish_fact(fact: DataFrame, spec: FactSpec, table: str, using: str | None = "parquet",
+                 expected_rows: int | None = None) -> LoadMetrics:
     laid_out = lookup_layout(fact, spec.month, spec.sort_columns())
     return publish(with_row_ids(laid_out, spec.row_id), table, spec.ddl(),
-                   sums=spec.totals, using=using)
+                   sums=spec.totals, using=using, expected_rows=expected_rows,
+                   lookups=spec.lookups)
 
 
 def publish_dimension(silver: DataFrame, spec: DimensionSpec, database: str,

@@ -61,13 +61,14 @@ class ColumnSpec:
 
 @dataclass(frozen=True)
 class FactSpec:
-    """A fact: surrogate keys, typed columns and the measures totalled on load."""
+    """A fact: surrogate keys, typed columns, measures totalled on load, lookup columns."""
 
     table: str
     keys: tuple[KeySpec, ...]
     columns: tuple[ColumnSpec, ...]
     month: str
     totals: tuple[str, ...] = ()
+    lookups: tuple[str, ...] = ()
     row_id: str = "fact_id"
     key_type: str = "varchar(50)"
     stamp: str = "updated_at"

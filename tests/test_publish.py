@@ -9,11 +9,17 @@ from sedimenta import purchases as P
 from sedimenta.operators.rollup import monthly_rollup
 from sedimenta.operators.star import build_fact
 from sedimenta.plans.feed import LAKE_SCHEMA
-from sedimenta.plans.layers import Feeds, Settings, read_silver, refresh_bronze, run_layers
+from sedimenta.plans.layers import (
+    Feeds,
+    Settings,
+    read_silver,
+    refresh_bronze,
+    run_layers,
+    stage,
+)
 from sedimenta.plans.queries import scratch_database
 from sedimenta.purchases import LAYOUT
 from sedimenta.sinks import tables as S
-from sedimenta.sinks.partitions import write_partitions
 from sedimenta.sources.lake import read_lake, with_partition_columns
 from sedimenta.specs import ColumnSpec, DimensionSpec, KeySpec
 from tests.fixtures import TOTALS_SCHEMA, frame, plan_of, row, source
@@ -41,6 +47,15 @@ def data(spark, *rows):
     return spark.createDataFrame(list(rows), "id bigint, name string")
 
 
+def published(spark, database):
+    """Names of live tables; each must be a view of the one stored version left."""
+    tables = spark.catalog.listTables(database)
+    live = [t.name for t in tables if t.tableType == "VIEW"]
+    stored = [t.name for t in tables if t.tableType != "VIEW"]
+    assert sorted(t.partition(S.VERSION)[0] for t in stored) == sorted(live)
+    return live
+
+
 def test_first_run_and_replacement(spark, database):
     table = f"{database}.x"
     S.publish(data(spark, (1, "a")), table, COLUMNS)
@@ -49,7 +64,7 @@ def test_first_run_and_replacement(spark, database):
     assert rows_of(spark, table) == [(2, "b"), (3, "c")]
     assert (metrics.rows, metrics.percent) == (2, 50.0)
     assert metrics.rows_per_second > 0
-    assert [t.name for t in spark.catalog.listTables(database)] == ["x"]
+    assert published(spark, database) == ["x"]
 
 
 def test_columns_are_bound_by_name(spark, database):
@@ -66,24 +81,50 @@ def test_failed_load_leaves_the_live_table(spark, database):
     with pytest.raises(S.PublishError, match="not unique"):
         S.publish(data(spark, (2, "b"), (2, "c")), table, COLUMNS, unique_key="id")
     assert rows_of(spark, table) == [(1, "a")]
-    assert [t.name for t in spark.catalog.listTables(database)] == ["x"]
+    assert published(spark, database) == ["x"]
 
 
 def test_failed_swap_restores_the_live_table(spark, database):
     table = f"{database}.x"
-    S.publish(data(spark, (1, "a")), table, COLUMNS)
+    S.create_table(spark, table, COLUMNS)
+    S.load_table(data(spark, (1, "a")), table)
     with pytest.raises(Exception):
         S.swap_table(spark, table, f"{database}.absent")
     assert rows_of(spark, table) == [(1, "a")]
 
 
-def test_interrupted_swap_is_healed(spark, database):
+def test_interrupted_swap_is_healed_before_a_failing_load(spark, database):
     table = f"{database}.x"
-    S.publish(data(spark, (1, "a")), table, COLUMNS)
-    spark.sql(f"ALTER TABLE {table} RENAME TO {table}_old")
-    assert S.restore_interrupted_swap(spark, table)
+    S.create_table(spark, f"{table}_old", COLUMNS)
+    S.load_table(data(spark, (1, "a")), f"{table}_old")
+    with pytest.raises(Exception, match="LENGTH|length"):
+        S.publish(data(spark, (2, "too long")), table, COLUMNS)
     assert rows_of(spark, table) == [(1, "a")]
     assert not S.restore_interrupted_swap(spark, table)
+    S.publish(data(spark, (3, "c")), table, COLUMNS)
+    assert rows_of(spark, table) == [(3, "c")] and published(spark, database) == ["x"]
+
+
+def test_lookup_columns_have_bloom_filters(spark, database):
+    table = f"{database}.x"
+    S.publish(data(spark, *[(i, f"{i:05d}") for i in range(1000)]), table, COLUMNS, lookups=["name"])
+    (path,) = spark.table(table).inputFiles()[:1]
+    options = spark.sql(f"DESCRIBE TABLE EXTENDED {version_of(spark, database)}").where(
+        "col_name = 'Storage Properties'").first()[1]
+    assert "parquet.bloom.filter.enabled#name=true" in options
+    with open(path.removeprefix("file:"), "rb") as f:
+        whole = f.read()
+    plain = f"{database}.y"
+    S.publish(data(spark, *[(i, f"{i:05d}") for i in range(1000)]), plain, COLUMNS)
+    (other,) = spark.table(plain).inputFiles()[:1]
+    with open(other.removeprefix("file:"), "rb") as f:
+        # The filter of one column adds its bits to the file.
+        assert len(whole) > len(f.read()) + 30
+
+
+def version_of(spark, database):
+    return next(f"{database}.{t.name}" for t in spark.catalog.listTables(database)
+                if t.name.startswith(f"x{S.VERSION}"))
 
 
 def test_load_metrics_sums(spark, database):
@@ -170,21 +211,49 @@ def test_layers_merge_late_rows_into_existing_dates(spark, tmp_path, database):
     assert sorted((r.src_order, r.origin) for r in ninth.collect()) == [(9, "DAILY"), (30, "LATE")]
 
 
-def test_repairs_can_be_staged(spark, tmp_path, database):
-    feeds, settings = layers(spark, tmp_path, database, stage_path=str(tmp_path / "stage"))
+def test_interrupted_repair_is_completed(spark, tmp_path, database):
+    feeds, settings = layers(spark, tmp_path, database, stage_database=database)
     refresh_bronze(spark, feeds, settings)
     bronze = read_lake(spark, settings.bronze_path, LAKE_SCHEMA)
-    (copy,) = (tmp_path / "stage").iterdir()
-    staged = read_lake(spark, str(copy), LAKE_SCHEMA)
     rows = sorted(str(r) for r in bronze.collect())
     assert len(rows) == 8
-    assert sorted(str(r) for r in staged.collect()) == rows
+    assert spark.catalog.listTables(database) == []
 
-    # A date lost half-way through the replacement comes back from the copy.
+    # A driver that died with a finished copy and a date removed.
+    stage(bronze, settings)
     shutil.rmtree(tmp_path / "bronze" / "proc_year=2001" / "proc_month=08" / "proc_date=2001-08-13")
-    write_partitions(staged, settings.bronze_path, LAYOUT.columns, cluster=False)
+    refresh_bronze(spark, Feeds(feeds.daily.limit(0), feeds.late.limit(0), feeds.totals.limit(0)), settings)
     again = read_lake(spark, settings.bronze_path, LAKE_SCHEMA)
     assert sorted(str(r) for r in again.collect()) == rows
+    assert spark.catalog.listTables(database) == []
+
+
+def files(path):
+    return {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_settled_dates_are_not_written_again(spark, tmp_path, database):
+    """Copies among the late rows keep the counts apart for ever; the content settles."""
+    feeds, settings = layers(spark, tmp_path, database)
+    copies = source(spark, [row(src_order=31, proc_date=dt.date(2001, 8, 9))] * 3)
+    run_layers(spark, feeds, settings)
+    feeds = Feeds(feeds.daily, feeds.late.unionByName(copies), feeds.totals.unionByName(
+        spark.createDataFrame([(dt.date(2001, 8, 9), 3)], TOTALS_SCHEMA)))
+    run_layers(spark, feeds, settings)
+    before = files(tmp_path / "bronze")
+    report = run_layers(spark, feeds, settings).report
+    assert dt.date(2001, 8, 9) in {r.proc_date for r in report if r.diverged}
+    assert files(tmp_path / "bronze") == before
+
+
+def test_one_stamp_and_full_percentage(spark, tmp_path, database):
+    feeds, settings = layers(spark, tmp_path, database)
+    result = run_layers(spark, feeds, replace(settings, run_ts=None))
+    assert result.fact.percent == 100.0
+    stamps = {r[0] for t in [P.FACT.table] + [d.table for d in P.DIMENSIONS]
+              for r in spark.table(f"{database}.{t}").select("updated_at").distinct().collect()}
+    assert len(stamps) == 1
+    run_layers(spark, feeds, replace(settings, year_from="issue", silver_path=str(tmp_path / "s2")))
 
 
 class ByDate:
@@ -196,8 +265,9 @@ class ByDate:
     def read(self, spark):
         return self.rows
 
-    def read_dates(self, spark, dates):
-        self.asked.append(sorted(d.day for d in dates))
+    def read_dates(self, spark, dates, scans=1):
+        if dates:
+            self.asked.append(sorted(d.day for d in dates))
         return self.rows.where(F.col("proc_date").isin(list(dates)))
 
     def distinct_dates(self, spark):
