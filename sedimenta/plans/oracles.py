@@ -232,23 +232,45 @@ def published() -> str:
     return f"WITH {SILVER} " + " UNION ALL ".join(selects)
 
 
+def contents(columns: list[str]) -> str:
+    """A number that changes with any value of any row, whatever the order of rows."""
+    joined = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
+    return f"CAST(sum(('0x' || substr(md5(concat_ws('|', {joined})), 1, 12))::BIGINT) AS VARCHAR) AS contents"
+
+
 def sizes() -> str:
-    counted = ["bronze", "silver"]
+    total = "CAST(sum({}) AS DECIMAL(25,4)) AS amount_total"
     selects = [
-        f"SELECT '{t}' AS table_name, count(*) AS row_count, "
-        f"CAST(sum(amount) AS DECIMAL(25,4)) AS amount_total FROM {t}" for t in counted
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, {total.format('amount')}, "
+        f"{contents(RUN_CONTENTS[t])} FROM {t}" for t in ("bronze", "silver")
     ]
     selects.append(
-        "SELECT 'fact_purchases', count(*), "
-        "CAST(sum(CAST(amount AS DECIMAL(15,4))) AS DECIMAL(25,4)) FROM silver"
+        f"SELECT 'fact_purchases', count(*), {total.format('amount')}, "
+        f"{contents(RUN_CONTENTS['fact_purchases'])} FROM (SELECT {FACT_COLUMNS}, {FACT_VALUES} FROM silver) f"
     )
     selects += [
-        f"SELECT '{name}', count(*), CAST(NULL AS DECIMAL(25,4)) FROM ({sql}) d"
+        f"SELECT '{name}', count(*), {total.format('NULL')}, {contents(RUN_CONTENTS[name])} FROM ({sql}) d"
         for name, sql in DIMENSIONS.items()
     ]
     return f"WITH {RUN_TABLES}\n" + "\nUNION ALL ".join(selects)
 
 
+# The columns whose values a run is compared by; all but stamps, row ids and doubles.
+RUN_CONTENTS = {
+    "bronze": ["src_order", "src_line", "ean", "store_tax_id", "issue_month", "product", "manufacturer",
+               "supplier", "supplier_tax_id", "product_group", "subclass", "brand", "amount", "issue_date",
+               "proc_date", "origin"],
+    "silver": ["ean", "store_tax_id", "issue_month", "proc_year", "product", "manufacturer", "supplier",
+               "supplier_tax_id", "product_group", "subclass", "brand", "amount"],
+    "fact_purchases": ["product_id", "brand_id", "manufacturer_id", "group_id", "supplier_tax_id",
+                       "store_tax_id", "issue_month", "amount", "quantity"],
+    "dim_manufacturer": ["manufacturer_id", "manufacturer", "issue_month"],
+    "dim_supplier": ["supplier_id", "supplier", "supplier_tax_id", "issue_month"],
+    "dim_brand": ["brand_id", "brand_name", "issue_month"],
+    "dim_group": ["group_id", "product_group", "subclass", "issue_month"],
+    "dim_product": ["product_id", "ean", "product", "issue_month"],
+}
+
 ORACLES: dict[str, str] = {
     "monthly_rollup": f"WITH {SILVER} SELECT * FROM silver",
     "rolling_window_filter": f"""WITH {FEED}

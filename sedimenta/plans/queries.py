@@ -14,6 +14,7 @@ from sedimenta import purchases as P
 from sedimenta.operators import merge, reconcile, rollup, star
 from sedimenta.plans import feed
 from sedimenta.plans.layers import Feeds, Settings, read_silver, run_layers
+from sedimenta.plans.oracles import RUN_CONTENTS
 from sedimenta.session import scratch_path
 from sedimenta.sinks import tables
 from sedimenta.sinks.delimited import write_delimited
@@ -226,7 +227,7 @@ def fact_row_ids(spark, sf_dir):
 
 
 def layered_run(spark, sf_dir):
-    """All layers from an existing lake; size and total of every table they leave."""
+    """All layers from an existing lake; size, total and contents of every table they leave."""
     database = scratch_database(spark, "layers")
     settings = Settings(
         bronze_path=scratch_path(spark, "bronze"),
@@ -254,12 +255,20 @@ def layered_run(spark, sf_dir):
     return reduce(DataFrame.unionByName, sizes)
 
 
+def _contents(rows: DataFrame, columns: list[str]):
+    """A number that changes with any value of any row, whatever the order of rows."""
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]
+    digest = F.substring(F.md5(F.concat_ws("|", *values)), 1, 12)
+    return F.sum(F.conv(digest, 16, 10).cast("decimal(20,0)")).cast("string")
+
+
 def _size(name: str, rows: DataFrame) -> DataFrame:
     total = F.sum("amount") if "amount" in rows.columns else F.lit(None)
     return rows.agg(
         F.count(F.lit(1)).alias("row_count"),
         total.cast("decimal(25,4)").alias("amount_total"),
-    ).select(F.lit(name).alias("table_name"), "row_count", "amount_total")
+        _contents(rows, RUN_CONTENTS[name]).alias("contents"),
+    ).select(F.lit(name).alias("table_name"), "row_count", "amount_total", "contents")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
