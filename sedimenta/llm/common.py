@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,22 @@ def small_join(left: DataFrame, right: DataFrame, on: str, how: str, row_bytes:
     return left.join(right, on, how)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Hand rows to Python in batches of at most ``rows`` while jobs run in this block.
+
+    For operators whose rows are long lists: a batch is held several times over, as
+    Arrow data in the JVM and in Python and as the values made of it.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the quarter of documents whose labels no model may learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))

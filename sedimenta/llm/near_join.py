@@ -31,7 +31,6 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +38,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from sedimenta.llm.common import fresh, map_texts, small_join, staged
+from sedimenta.llm.common import fresh, map_texts, small_batches, small_join, staged
 
 WORDS = re.compile(r"\w+")
 GRAM = 5
@@ -49,7 +49,7 @@ RECALL = 0.99999
 MAX_HASHES = 96
 BLOCK_TEXTS = 400
 BLOCK_GRAMS = 400_000
-CACHE = 400_000
+CACHE = 50_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,8 +76,7 @@ class Grams(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHE:
             self.clear()
-        data = word.encode("utf-8", "replace")
-        self[word] = found = (zlib.crc32(data) << 32 | zlib.adler32(data)) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+        self[word] = found = xxh3_64_intdigest(word.encode("utf-8", "replace"))
         return found
 
     def of(self, words: list[str]) -> np.ndarray:
@@ -295,6 +294,11 @@ def near_classes(
     is linked with over any number of links; copies: documents with the same words.
     """
     bands, rows = choose_bands(threshold, recall)
+    with small_batches(docs.sparkSession):
+        return _near_classes(docs, id_col, text_col, rid_col, gram, threshold, bands, rows, count_links)
+
+
+def _near_classes(docs, id_col, text_col, rid_col, gram, threshold, bands, rows, count_links) -> DataFrame:
     rid = F.col(rid_col) if rid_col else F.monotonically_increasing_id()
     base = docs.select(rid.alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     base = staged(profiles(base, "text", gram, bands, rows, ["rid", "doc_id"]), "profiles")
