@@ -27,8 +27,8 @@ def labelled_sample(
 ) -> DataFrame:
     """(label, text) of at most ``rows`` rows that are not held out, the same every time.
 
-    A document with several labels has the largest; rows are taken in the order of a
-    hash of the id.
+    A document with several labels has the largest, an id with several rows the text
+    that sorts last; rows are taken in the order of a hash of the id.
     """
     one = labels.filter(F.col(label_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(id_col).agg(
         F.max(label_col).alias("label"))
@@ -36,7 +36,8 @@ def labelled_sample(
     texts = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter(
         F.octet_length("text") <= max_bytes)
     # At most ``rows`` pairs of numbers.
-    return texts.join(F.broadcast(chosen), id_col).select("label", "text", F.xxhash64(id_col).alias("order"))
+    found = texts.join(F.broadcast(chosen), id_col).groupBy(id_col, "label").agg(F.max("text").alias("text"))
+    return found.select("label", "text", F.xxhash64(id_col).alias("order"))
 
 
 def collected(sample: DataFrame, *lists: str) -> tuple[np.ndarray, list[list[np.ndarray]]]:
