@@ -24,11 +24,11 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from sedimenta.llm.common import fresh, map_texts, small_join, staged
 
@@ -38,7 +38,7 @@ LEAST_TOKENS = 13
 BITMAP_BITS = 26
 CACHE = 300_000
 
-NUMBER = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*(?:st|nd|rd|th|[a-zA-Z%°]{0,4})")
+NUMBER = re.compile(r"\d+(?:[.,:/]\d+)*(?:st|nd|rd|th|[a-zA-Z%°]{0,4})")
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 # Words that count as numbers or units.
@@ -53,14 +53,12 @@ UNITS = frozenset(
     "liters gallon gallons second seconds minute minutes hour hours day days week weeks month months year years "
     "dollar dollars euro euros cent cents percent degree degrees watt watts volt volts joule joules".split())
 SLOT_NUMBER, SLOT_UNIT, SLOT_NAME = 1, 2, 3
+# Codes of literal tokens have the highest bit; placeholders are below.
+LITERAL = 1 << 63
+STOPS = frozenset(".!?:")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _mixed(value: int) -> int:
-    value = (value ^ (value >> 31)) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
-    return value ^ (value >> 29)
-
-
 class Tokens(dict):
     """Raw tokens to row numbers of arrays that say what they are."""
 
@@ -80,20 +78,22 @@ class Tokens(dict):
         if at == len(self.first):
             for name in ("first", "later", "value", "stops"):
                 setattr(self, name, np.concatenate([getattr(self, name), np.zeros_like(getattr(self, name))]))
-        core = EDGE.sub("", raw)
-        low = core.lower()
+        if raw.isalpha() and raw.islower():
+            low = core = raw
+        else:
+            core = EDGE.sub("", raw)
+            low = core.lower()
+            self.stops[at] = raw[-1] in STOPS or raw[-2:-1] in STOPS and not raw[-1].isalnum()
         if core:
-            data = low.encode("utf-8", "replace")
-            self.value[at] = zlib.crc32(data)
-            word = 16 + _mixed((zlib.crc32(data) << 32) | zlib.adler32(data)) % (1 << 63)
-            if NUMBER.fullmatch(core) or low in NUMBER_WORDS:
+            word = xxh3_64_intdigest(low.encode("utf-8", "replace")) | LITERAL
+            self.value[at] = word - LITERAL
+            if core[0].isdigit() and NUMBER.fullmatch(core) or low in NUMBER_WORDS:
                 word = SLOT_NUMBER
             elif low in UNITS:
                 word = SLOT_UNIT
             self.first[at] = self.later[at] = word
-            if word >= 16 and len(core) > 1 and core.istitle():
+            if word >= LITERAL and len(core) > 1 and core.istitle():
                 self.later[at] = SLOT_NAME
-        self.stops[at] = raw[-1] in ".!?:" or raw[-2:-1] in (".", "!", "?") and not raw[-1].isalnum()
         self[raw] = at
         return at
 
@@ -117,11 +117,12 @@ def windows(code: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     total = np.full(n, width, dtype=np.uint64)
     for j in range(width):
-        total = total * MULTIPLIER + (code[j: j + n] ^ (code[j: j + n] >> np.uint64(33)))
+        total *= MULTIPLIER
+        total += code[j: j + n]
     total ^= total >> np.uint64(32)
     total *= MULTIPLIER
     total ^= total >> np.uint64(29)
-    literal = np.concatenate([[0], np.cumsum(code >= 16)])
+    literal = np.concatenate([[0], np.cumsum(code >= LITERAL)])
     at = np.flatnonzero(2 * (literal[width:] - literal[:-width]) >= width)
     return at, total[at]
 
@@ -138,7 +139,7 @@ def _found(tokens: Tokens, text: str | None, widths, bitmap: np.ndarray | None):
             keep = (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
             at, key = at[keep], key[keep]
         for i, h in zip(at.tolist(), key.view(np.int64).tolist()):
-            yield i, h, value[i: i + width][code[i: i + width] < 16].tolist()
+            yield i, h, value[i: i + width][code[i: i + width] < LITERAL].tolist()
 
 
 def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
