@@ -109,7 +109,7 @@ def fit(
 
 def _calibrate(logit: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     """Scale and shift of the logit that make its sigmoid a probability."""
-    if label.min(initial=1) == label.max(initial=0):
+    if not len(label) or label.min() == label.max():
         return 1.0, 0.0
     scale, shift = 1.0, float(np.log(label.mean() / (1 - label.mean())))
     steps = AdaGrad(2, 0.1)

@@ -36,6 +36,14 @@ def test_machine_learns_a_pair():
         assert right >= 450
 
 
+def test_machine_of_few_rows_has_scores():
+    for n in (0, 1, 2, 4, 6):
+        sets = [np.array(toxicity.terms(f"word{i} x")) for i in range(n)]
+        model = toxicity.fit(sets, np.arange(n) % 2)
+        score = model.scores(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), 1)
+        assert 0 <= score[0] <= 1
+
+
 def test_machine_matches_the_double_sum():
     rng = np.random.default_rng(3)
     model = toxicity.Machine(22, {}, 0.3, rng.normal(size=9), rng.normal(size=(9, 4)), 1.0, 0.0)
