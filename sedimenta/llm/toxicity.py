@@ -29,8 +29,8 @@ BITS = 22
 FACTORS = 8
 LEAST_ROWS = 5
 # Terms that fall on either label like any others only add noise to the pairs.
-LEAST_Z = 3.0
-EPOCHS = 20
+LEAST_Z = 4.0
+EPOCHS = 30
 BATCH = 256
 CUT = 0.3
 CACHE = 400_000
@@ -82,7 +82,7 @@ def fit(
     # Both classes weigh the same in the fit; calibration restores their shares.
     weight = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share))
     bias, w, v = np.zeros(1), np.zeros(size), random.normal(0, 0.02, (size, factors))
-    steps = AdaGrad(1, 0.1), AdaGrad(size, 0.1), AdaGrad((size, factors), 0.02)
+    steps = AdaGrad(1, 0.1), AdaGrad(size, 0.2), AdaGrad((size, factors), 0.02)
     order = random.permutation(len(rows))
     apart, used = order[: len(order) // 5], order[len(order) // 5:]
     for _ in range(epochs):
