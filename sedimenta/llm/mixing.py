@@ -219,6 +219,6 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     copies = F.sequence(F.lit(1), F.col(times))
     one = fresh(held, "copy")
     return (
-        small_join(held, taken, name, "inner", 24)
+        small_join(held, taken, name, "inner", 96)
         .withColumn(one, F.explode(copies)).drop(name, times, one)
     )

@@ -315,7 +315,7 @@ def _near_classes(docs, id_col, text_col, rid_col, gram, threshold, bands, rows,
         shared.filter("tid <> pivot").select(F.least("tid", "pivot").alias("x"), F.greatest("tid", "pivot").alias("y")).distinct(),
         "pairs")
     wanted = staged(shared.select("tid").distinct(), "wanted")
-    sets = small_join(base.select(F.col("rid").alias("tid"), "grams"), wanted, "tid", "left_semi", 16)
+    sets = small_join(base.select(F.col("rid").alias("tid"), "grams"), wanted, "tid", "left_semi", 96)
     sets = staged(sets, "sets")
     links = staged(verified(pairs, sets, threshold), "links")
 
@@ -362,4 +362,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     held = staged(docs.withColumn(name, F.monotonically_increasing_id()), "near-docs")
     rows = near_classes(held, id_col, text_col, rid_col=name, count_links=False, **options)
     kept = staged(_classes(rows).select(F.col("first.rid").alias(name)), "near-kept")
-    return small_join(held, kept, name, "left_semi", 16).drop(name)
+    return small_join(held, kept, name, "left_semi", 96).drop(name)

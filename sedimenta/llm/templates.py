@@ -263,4 +263,4 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
     name = fresh(docs, "text_sha256")
     bad = staged(contaminated_texts(docs, items, text_col, **options).select(F.col("text_sha256").alias(name)).distinct(),
                  "contaminated")
-    return small_join(docs.withColumn(name, F.sha2(F.col(text_col), 256)), bad, name, "left_anti", 200).drop(name)
+    return small_join(docs.withColumn(name, F.sha2(F.col(text_col), 256)), bad, name, "left_anti", 256).drop(name)
