@@ -45,12 +45,19 @@ def best(action, runs: int) -> float:
 
 
 def spark_times(sf_dir: str, cpus: int, runs: int, names: list[str]) -> dict[str, float]:
+    with tempfile.TemporaryDirectory(prefix="bench-") as scratch:
+        return _spark_times(sf_dir, cpus, runs, names, scratch)
+
+
+def _spark_times(sf_dir: str, cpus: int, runs: int, names: list[str], scratch: str) -> dict[str, float]:
     spark = build_session(
         "bench",
         f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": str(cpus),
             PARTITIONS: str(cpus),
+            "spark.checkpoint.dir": f"{scratch}/tables",
+            "spark.sql.warehouse.dir": f"{scratch}/warehouse",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
