@@ -33,7 +33,7 @@ LEAST_Z = 4.0
 EPOCHS = 30
 BATCH = 256
 CUT = 0.3
-CACHE = 400_000
+CACHE = 100_000
 
 WORDS = re.compile(r"\w+")
 
