@@ -72,30 +72,23 @@ class Rows:
         place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.ends[at], sizes)
         return row, self.features[place], self.values[place]
 
+    def only(self, keep: np.ndarray) -> Rows:
+        """The features for which ``keep`` is true, numbered anew."""
+        ok = keep[self.features]
+        row = np.repeat(np.arange(len(self)), np.diff(self.ends))[ok]
+        ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(self)))])
+        return Rows(ends, (np.cumsum(keep) - 1)[self.features[ok]], self.values[ok])
 
-def gather(
-    features: list[np.ndarray], values: list[np.ndarray], least_rows: int,
-    labels: np.ndarray | None = None, least_z: float = 0.0,
-) -> tuple[Rows, np.ndarray]:
-    """Number the features that occur in at least ``least_rows`` rows; drop the others.
 
-    With 0/1 labels, also drop those that fall on label 1 less than ``least_z`` standard
-    deviations more or less often than chance.
-    """
+def gather(features: list[np.ndarray], values: list[np.ndarray], least_rows: int) -> tuple[Rows, np.ndarray]:
+    """Number the features that occur in at least ``least_rows`` rows; drop the others."""
     sizes = np.array([len(f) for f in features], dtype=np.int64)
     flat = np.concatenate(features) if len(features) else np.zeros(0, dtype=np.int64)
     weight = np.concatenate(values) if len(values) else np.zeros(0)
     known, at, count = np.unique(flat, return_inverse=True, return_counts=True)
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
     keep = count >= least_rows
-    if labels is not None and len(known):
-        share = labels.mean()
-        hits = np.bincount(at, np.repeat(labels, sizes), len(known))
-        keep &= np.abs(hits - count * share) >= least_z * np.sqrt(count * share * (1 - share))
-    number = np.cumsum(keep) - 1
-    ok = keep[at]
-    row = np.repeat(np.arange(len(sizes)), sizes)[ok]
-    ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(sizes)))])
-    return Rows(ends, number[at][ok], weight[ok]), known[keep]
+    return Rows(ends, at, weight).only(keep), known[keep]
 
 
 class AdaGrad:

@@ -3,7 +3,9 @@
 A document is the set of its hashed words. Its logit is a bias, a weight for each term
 and a weight for each pair of its terms, where pair weights are products of short
 vectors, one per term: an insult counts differently beside a group than alone, which
-a sum of weights cannot say. The model is fitted by mini-batch descent on a bounded
+a sum of weights cannot say. A term takes part if it tells something alone or in a pair
+with any other term; all pairs of terms that occur together are counted, and a pair tells
+something if chance would not show the like once among all of them. The model is fitted by mini-batch descent on a bounded
 sample of labelled rows and calibrated on a part of it that the fit has not seen.
 
 Defined cases: null and empty texts have no terms and get the score of the bias; scores
@@ -23,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.common import held_out, map_texts
-from sedimenta.llm.linear import SAMPLE_ROWS, AdaGrad, collected, gather, labelled_sample, sigmoid
+from sedimenta.llm.linear import SAMPLE_ROWS, AdaGrad, Rows, collected, gather, labelled_sample, sigmoid
 
 BITS = 22
 FACTORS = 8
 LEAST_ROWS = 5
-# Terms that fall on either label like any others only add noise to the pairs.
+# Terms that fall on either label like any others, alone and in pairs, only add noise.
 LEAST_Z = 4.0
 EPOCHS = 30
 BATCH = 256
@@ -66,18 +68,85 @@ class Machine:
         return sigmoid(self.scale * self.logits(row, feature, n) + self.shift)
 
 
+def telling(rows: Rows, labels: np.ndarray, size: int) -> np.ndarray:
+    """Which of ``size`` terms fall on label 1 unlike others, alone or together with another term."""
+    share = labels.mean()
+    sizes = np.diff(rows.ends)
+    term = rows.features
+    count = np.bincount(term, minlength=size)
+    hits = np.bincount(term, np.repeat(labels, sizes), size)
+    keep = np.abs(hits - count * share) >= LEAST_Z * np.sqrt(count * share * (1 - share))
+    own = (hits + share) / (count + 1)
+    odds, base = np.log(own / (1 - own)), np.log(share / (1 - share))
+    # A pair's log-likelihood ratio beyond this is expected less than once among all pairs.
+    least = np.log(max(2, size * (size - 1) // 2))
+    # Terms that reach it with no other term, whatever rows they share, need not be paired.
+    able, before = np.ones(size, dtype=bool), -1
+    low = high = odds
+    while able.any() and able.sum() != before:
+        before = able.sum()
+        low, high = odds + odds[able].min() - base, odds + odds[able].max() - base
+        # -log p and -log(1 - p) of the logit x.
+        bound = [hits * np.logaddexp(0, -x) + (count - hits) * np.logaddexp(0, x) for x in (low, high)]
+        able &= np.maximum(*bound) >= least
+    most = np.maximum(np.logaddexp(0, -low), np.logaddexp(0, high))
+    # Able terms from the most frequent to the rarest; a pair is counted at the more frequent one.
+    name = np.flatnonzero(able)
+    name = name[np.argsort(-count[name], kind="stable")]
+    rank = np.full(size, -1)
+    rank[name] = np.arange(len(name))
+    row, flat = np.repeat(np.arange(len(rows)), sizes), rank[term]
+    row, flat = row[flat >= 0], flat[flat >= 0]
+    order = np.lexsort((flat, row))
+    row, flat = row[order], flat[order]
+    stop = np.searchsorted(row, row, "right")
+    places = np.argsort(flat, kind="stable")
+    ends = np.searchsorted(flat[places], np.arange(len(name) + 1))
+    good = labels[row] > 0
+    found = keep.copy()
+    for i, a in enumerate(name.tolist()):
+        at = places[ends[i]: ends[i + 1]]
+        counted = []
+        for part in (at, at[good[at]]):
+            shares = [flat[x:y] for x, y in zip((part + 1).tolist(), stop[part].tolist())]
+            counted.append(np.concatenate(shares) if shares else flat[:0])
+        if len(counted[0]) < len(name) // 4:
+            b, n = np.unique(counted[0], return_counts=True)
+            can = n * most[a] >= least
+            b, n = b[can], n[can]
+            inside = np.sort(counted[1])
+            k = np.searchsorted(inside, b, "right") - np.searchsorted(inside, b, "left")
+        else:
+            both, hit = (np.bincount(x, minlength=len(name)) for x in counted)
+            b = np.flatnonzero(both * most[a] >= least)
+            n, k = both[b], hit[b]
+        rest, b = n - k, name[b]
+        # The odds that the two terms alone would give.
+        x = odds[a] + odds[b] - base
+        ratio = (k * (np.log(np.maximum(k, 1) / n) + np.logaddexp(0, -x))
+                 + rest * (np.log(np.maximum(rest, 1) / n) + np.logaddexp(0, x)))
+        hit = b[ratio >= least]
+        if keep[a]:
+            hit = hit[~keep[hit]]
+        found[hit] = True
+        found[a] |= len(hit) > 0
+    return found
+
+
 def fit(
     sets: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors: int = FACTORS,
     epochs: int = EPOCHS, decay: float = 3e-5, seed: int = 1,
 ) -> Machine:
     labels = np.asarray(labels, dtype=float)
-    rows, known = gather(sets, [np.ones(len(s)) for s in sets], LEAST_ROWS, labels, LEAST_Z)
-    random = np.random.default_rng(seed)
-    size = max(1, len(known))
-    number = {int(t): i for i, t in enumerate(known)}
     if not len(labels) or labels.min() == labels.max():
         level = -40.0 if not len(labels) or labels[0] == 0 else 40.0
         return Machine(bits, {}, level, np.zeros(1), np.zeros((1, factors)), 1.0, 0.0)
+    rows, known = gather(sets, [np.ones(len(s)) for s in sets], LEAST_ROWS)
+    keep = telling(rows, labels, len(known))
+    rows, known = rows.only(keep), known[keep]
+    random = np.random.default_rng(seed)
+    size = max(1, len(known))
+    number = {int(t): i for i, t in enumerate(known)}
     share = labels.mean()
     # Both classes weigh the same in the fit; calibration restores their shares.
     weight = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share))

@@ -36,6 +36,24 @@ def test_machine_learns_a_pair():
         assert right >= 450
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_machine_keeps_a_pair_of_neutral_words(seed):
+    rng = random.Random(seed)
+    texts, labels = [], []
+    for _ in range(4000):
+        insult, group = rng.random() < 0.5, rng.random() < 0.5
+        texts.append(" ".join([f"w{rng.randrange(60)}" for _ in range(6)] + ["fool"] * insult + ["people"] * group))
+        labels.append(int(insult == group))
+    model = toxicity.fit([np.array(toxicity.terms(t)) for t in texts], np.array(labels))
+    known = toxicity._Known(model)
+    assert known["fool"] >= 0 and known["people"] >= 0
+    right = 0
+    for t, y in list(zip(texts, labels))[:500]:
+        f = np.array(sorted({known[w] for w in t.split()} - {-1}), dtype=np.int64)
+        right += (model.scores(np.zeros(len(f), dtype=np.int64), f, 1)[0] >= 0.5) == (y == 1)
+    assert right >= 450
+
+
 def test_machine_of_few_rows_has_scores():
     for n in (0, 1, 2, 4, 6):
         sets = [np.array(toxicity.terms(f"word{i} x")) for i in range(n)]
