@@ -2,9 +2,10 @@
 
 The fixed patterns find assignments, access keys and long hex strings. The test finds
 random strings that no pattern names: a byte-pair vocabulary learnt from text needs many
-tokens for them, so few characters per token give them away. Known digests, UUIDs and
-identifiers made of words and numbers are excluded first, and what a fixed pattern
-already covers is not reported again.
+tokens for them, so few characters per token give them away, whatever the case of their
+letters, with or without digits. Digests, UUIDs, numbers and identifiers made of numbers
+and of words that need few tokens are excluded, and what a fixed pattern already covers
+is not reported again.
 
 Defined cases: a null text counts as empty, which has no spans; spans count code points
 and exclude their end; a text may be of any length (runs are encoded in slices, so the
@@ -58,27 +59,32 @@ def base_spans(text: str) -> list[Span]:
     return sorted(spans)
 
 
-def is_known(run: str) -> bool:
-    """Digests, UUIDs, numbers, and identifiers of words and numbers of some length."""
+def n_tokens(run: str, tokens) -> int:
+    return sum(len(tokens(run[i:i + SLICE])) for i in range(0, len(run), SLICE))
+
+
+def is_known(run: str, tokens, limit: float) -> bool:
+    """Digests, UUIDs, numbers, and identifiers of words and numbers of some length.
+
+    A word is one token, or has ``limit`` characters per token.
+    """
     if HEXADECIMAL.match(run) and (len(run) in DIGEST_CHARS or run.isdigit()) or UUID.match(run):
         return True
     bits = [x for x in SIGNS.split(run) if x]
-    if all(x.isdigit() or x.isalpha() and (x.islower() or x.isupper() or x.istitle()) for x in bits):
-        return True
-    parts = [x for x in PARTS.findall(run)]
-    return len(run) >= 4 * len(parts)
+    parts = PARTS.findall(run)
+    if len(run) < 4 * len(parts) and not all(
+            x.isdigit() or x.isalpha() and (x.islower() or x.isupper() or x.istitle()) for x in bits):
+        return False
+    return all(x.isdigit() or (n := n_tokens(x, tokens)) == 1 or len(x) >= limit * n for x in parts)
 
 
 def random_spans(text: str, taken: Sequence[Span], tokens, limit: float) -> list[Span]:
-    spans, at = [], 0
+    spans = []
     for m in RUN.finditer(text):
         run, start, end = m.group(), m.start(), m.end()
-        if not any(c.isdigit() for c in run) and sum(a.islower() and b.isupper() for a, b in zip(run, run[1:])) < 3:
-            continue
-        if any(s < end and e > start for s, _, e in taken) or is_known(run):
+        if any(s < end and e > start for s, _, e in taken):
             continue
-        pieces = sum(len(tokens(run[i:i + SLICE])) for i in range(0, len(run), SLICE))
-        if len(run) < limit * pieces:
+        if len(run) < limit * n_tokens(run, tokens) and not is_known(run, tokens, limit):
             spans.append((start, 3, end))
     return spans
 

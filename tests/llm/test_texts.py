@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from sedimenta.llm import secrets
 from sedimenta.llm.common import table
 from sedimenta.llm.rendering import extract
 from sedimenta.llm.secrets import scan
@@ -87,6 +88,19 @@ def test_random_strings(spark, text, found):
     assert got == ([found] if found else [])
 
 
+@pytest.mark.parametrize("run, found", [
+    ("qzvkxwjphbtmrzwq", True), ("qzvkxwjphbtmrzwqxjkvbqzpwtgnhcrd", True), ("QZVKXWJPHBTMRZWQXJKVBQZPWTGNHCRD", True),
+    ("qzvkxwjphbtm-4471-xrzwqkvj", True), ("QZVKXWJPHBTM_88_XRZWQKVJ", True), ("Qzvkxwjphbtmrzwqxjk", True),
+    ("some_constant_name_here", False), ("SOME_CONSTANT_NAME_HERE", False), ("AbstractProxyFactory", False),
+    ("1234-5678-9012-3456", False), ("=" * 40, False), ("9E107D9D372BB6826BD81D3542A419D6", False),
+])
+def test_random_strings_of_one_case(run, found):
+    with open(secrets.VOCABULARY, "rb") as f:
+        tokens = secrets._tokens(f.read())
+    assert secrets.random_spans(f"use {run} once", [], tokens, secrets.CHARS_PER_TOKEN) == (
+        [(4, 3, 4 + len(run))] if found else [])
+
+
 @pytest.mark.parametrize("markup, text", [
     (None, ""), ("", ""), ("just text", "just text"),
     ("<p>one<p>two &amp; three", "one\n\ntwo & three"),
