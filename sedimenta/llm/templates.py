@@ -14,7 +14,9 @@ of any size gives a bitmap of that size; a fuller one lets more windows through
 join and changes nothing else.
 
 Defined cases: null and empty texts are clean; items of fewer than ``SHORTEST`` tokens and
-windows with fewer literal tokens than placeholders say nothing and are not matched;
+windows with fewer literal tokens than placeholders say nothing and are not matched; an item
+with too few other windows needs all of those, and one with none is found if all its words
+are; an item's first word is read as at a sentence start and as within a sentence;
 copies of a text get one verdict; a null item id is reported as null only through
 ``contaminated``; an empty documents or benchmark table gives clean or no rows; other
 columns than id and text are not read and are kept by ``drop_contaminated``.
@@ -55,6 +57,8 @@ UNITS = frozenset(
 SLOT_NUMBER, SLOT_UNIT, SLOT_NAME = 1, 2, 3
 # Codes of literal tokens have the highest bit; placeholders are below.
 LITERAL = 1 << 63
+# Positions of windows of the words themselves start here.
+EXACT = 1 << 30
 STOPS = frozenset(".!?:")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -99,6 +103,11 @@ class Tokens(dict):
 
     def read(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Template codes and values of the tokens of a text."""
+        code, value, _ = self.variants(text)
+        return code, value
+
+    def variants(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """Codes and values, and the codes within a sentence if the first word has another one there."""
         if len(self) >= CACHE:
             self._reset(1024)
         raw = text.split()
@@ -107,14 +116,15 @@ class Tokens(dict):
         start[1:] = self.stops[at[:-1]]
         code = np.where(start, self.first[at], self.later[at])
         real = code != 0
-        return code[real], self.value[at][real]
+        inner = None
+        if len(at) and self.first[at[0]] != self.later[at[0]]:
+            inner = code[real]
+            inner[0] = self.later[at[0]]
+        return code[real], self.value[at][real], inner
 
 
-def windows(code: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the windows that are literal for the most part."""
+def _hashes(code: np.ndarray, width: int) -> np.ndarray:
     n = len(code) - width + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     total = np.full(n, width, dtype=np.uint64)
     for j in range(width):
         total *= MULTIPLIER
@@ -122,48 +132,114 @@ def windows(code: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     total ^= total >> np.uint64(32)
     total *= MULTIPLIER
     total ^= total >> np.uint64(29)
+    return total
+
+
+def _mostly_literal(code: np.ndarray, width: int) -> np.ndarray:
     literal = np.concatenate([[0], np.cumsum(code >= LITERAL)])
-    at = np.flatnonzero(2 * (literal[width:] - literal[:-width]) >= width)
-    return at, total[at]
+    return 2 * (literal[width:] - literal[:-width]) >= width
 
 
-def _found(tokens: Tokens, text: str | None, widths, bitmap: np.ndarray | None):
+def windows(code: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the windows that are literal for the most part."""
+    if len(code) < width:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    at = np.flatnonzero(_mostly_literal(code, width))
+    return at, _hashes(code, width)[at]
+
+
+def exact_windows(code: np.ndarray, value: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes, of the words themselves, of the other windows."""
+    if len(code) < width:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    at = np.flatnonzero(~_mostly_literal(code, width))
+    if not len(at):
+        return at, np.zeros(0, dtype=np.uint64)
+    word = value[at[:, None] + np.arange(width)].astype(np.uint64)
+    total = np.full(len(at), ~width & 0xFFFF, dtype=np.uint64)
+    for j in range(width):
+        total *= MULTIPLIER
+        total += word[:, j]
+    total ^= total >> np.uint64(32)
+    total *= MULTIPLIER
+    total ^= total >> np.uint64(29)
+    return at, total
+
+
+def _through(at: np.ndarray, key: np.ndarray, bitmap: np.ndarray | None):
+    if bitmap is not None and len(at):
+        bit = key & np.uint64((len(bitmap) << 6) - 1)
+        keep = (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+        at, key = at[keep], key[keep]
+    return zip(at.tolist(), key.view(np.int64).tolist())
+
+
+def _template(code, value, width: int, bitmap: np.ndarray | None = None):
     """(position, hash, slot values) of the windows of a text that the bitmap lets through."""
+    for i, h in _through(*windows(code, width), bitmap):
+        yield i, h, value[i: i + width][code[i: i + width] < LITERAL].tolist()
+
+
+def _exact(code, value, width: int, bitmap: np.ndarray | None = None):
+    for i, h in _through(*exact_windows(code, value, width), bitmap):
+        yield EXACT + i, h, []
+
+
+def _found(tokens: Tokens, text: str | None, widths, exact, bitmap: np.ndarray):
     if not text:
         return
     code, value = tokens.read(text)
     for width in widths:
-        at, key = windows(code, width)
-        if bitmap is not None and len(at):
-            bit = key & np.uint64((len(bitmap) << 6) - 1)
-            keep = (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-            at, key = at[keep], key[keep]
-        for i, h in zip(at.tolist(), key.view(np.int64).tolist()):
-            yield i, h, value[i: i + width][code[i: i + width] < LITERAL].tolist()
+        yield from _template(code, value, width, bitmap)
+        if width in exact:
+            yield from _exact(code, value, width, bitmap)
+
+
+def _of_item(tokens: Tokens, text: str | None, window: int):
+    """Tokens, usable windows and windows of an item.
+
+    The first word may stand at a sentence start in a document or not, so both forms of its
+    window are emitted; usable are those that there are either way. If there are none, the
+    windows of the words themselves are emitted too.
+    """
+    code, value, inner = tokens.variants(text or "")
+    n = len(code)
+    if n < SHORTEST:
+        return n, 0, []
+    width = min(n, window)
+    out = list(_template(code, value, width))
+    usable, plain = len(out), code
+    if inner is not None:
+        other = list(_template(inner, value, width))
+        if len(other) < usable:
+            usable, plain = len(other), inner
+        out += [w for w in other if w[0] == 0]
+    if not usable:
+        out += _exact(plain, value, width)
+    return n, usable, out
 
 
 def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """item_id, n (tokens of the item), ipos, hash, slots."""
+    """item_id, n (tokens of the item), usable (windows of the item), ipos, hash, slots."""
 
     def start():
         tokens = Tokens()
 
         def work(texts):
-            out = []
-            for text in texts:
-                n = len(tokens.read(text)[0]) if text else 0
-                widths = [min(n, window)] if n >= SHORTEST else []
-                out.append((n, list(_found(tokens, text, widths, None))))
-            return [[n for n, _ in out],
-                    [[x[0] for x in w] for _, w in out],
-                    [[x[1] for x in w] for _, w in out],
-                    [[len(x[2]) for x in w] for _, w in out],
-                    [[v for x in w for v in x[2]] for _, w in out]]
+            made = [_of_item(tokens, text, window) for text in texts]
+            out = [w for _, _, w in made]
+            return [[n for n, _, _ in made],
+                    [usable for _, usable, _ in made],
+                    [[x[0] for x in w] for w in out],
+                    [[x[1] for x in w] for w in out],
+                    [[len(x[2]) for x in w] for w in out],
+                    [[v for x in w for v in x[2]] for w in out]]
 
         return work
 
-    made = map_texts(items.select(F.col(id_col).alias("item_id"), text_col), ["item_id"], text_col, _FIELDS, start)
-    return _unpacked(made, "item_id", "n").withColumnRenamed("pos", "ipos")
+    made = map_texts(items.select(F.col(id_col).alias("item_id"), text_col), ["item_id"], text_col,
+                     [("n", "long"), ("usable", "long"), *_FIELDS[1:]], start)
+    return _unpacked(made, "item_id", "n", "usable").withColumnRenamed("pos", "ipos")
 
 
 _FIELDS = [("n", "long"), ("pos", "array<int>"), ("hash", "array<long>"), ("sizes", "array<int>"), ("values", "array<long>")]
@@ -203,14 +279,16 @@ def contaminated_texts(
     ``changed`` says whether the match needed other slot values than the item's.
     """
     bench = staged(benchmark_windows(items, item_id_col, item_text_col, window), "bench-windows")
-    widths = [r[0] for r in bench.select(F.least("n", F.lit(window)).cast("int").alias("width")).distinct().collect()]
+    width = F.least("n", F.lit(window)).cast("int").alias("width")
+    kinds = bench.select(width, (F.col("ipos") >= EXACT).alias("exact")).distinct().collect()
+    widths, exact = {r["width"] for r in kinds}, {r["width"] for r in kinds if r["exact"]}
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(bench, bitmap_bits))
 
     def start():
         tokens, bitmap = Tokens(), shared.value
 
         def work(texts):
-            out = [list(_found(tokens, t, sorted(widths), bitmap)) for t in texts]
+            out = [list(_found(tokens, t, sorted(widths), exact, bitmap)) for t in texts]
             return [[hashlib.sha256(t.encode()).hexdigest() if w else None for t, w in zip(texts, out)],
                     [[x[0] for x in w] for w in out],
                     [[x[1] for x in w] for w in out],
@@ -223,7 +301,7 @@ def contaminated_texts(
     found = staged(_unpacked(scanned.filter("key IS NOT NULL"), "key"), "doc-windows")
     matched = found.join(bench.withColumnRenamed("slots", "given"), "hash").filter(
         F.size("slots") == F.size("given")
-    ).select("key", "item_id", "n", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"),
+    ).select("key", "item_id", "n", "usable", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"),
              F.arrays_zip(F.col("given").alias("b"), F.col("slots").alias("d")).alias("pairs"))
     matched = staged(matched, "matched-windows")
     line = ["key", "item_id", "shift"]
@@ -237,12 +315,16 @@ def contaminated_texts(
     judged = (
         matched.alias("m").join(torn.alias("t"), on, "left")
         .filter(F.col("t.torn").isNull() | same)
-        .groupBy("m.key", "m.item_id").agg(
-            F.count_distinct("m.ipos").alias("n_windows"), F.max("m.n").alias("n"), F.bool_or(~same).alias("changed"))
+        # Windows of the words themselves count along one alignment, as the whole item.
+        .groupBy("m.key", "m.item_id", F.when(F.col("m.ipos") >= EXACT, F.col("m.shift")).alias("whole")).agg(
+            F.count_distinct("m.ipos").alias("n_windows"), F.max("m.n").alias("n"), F.max("m.usable").alias("usable"),
+            F.bool_or(~same).alias("changed"))
     )
-    need = F.greatest(F.lit(1), F.least(F.col("n"), F.lit(least_tokens)) - window + 1)
-    return judged.filter(F.col("n_windows") >= need).select(
-        F.col("key").alias("text_sha256"), "item_id", "n_windows", "changed")
+    every = F.greatest(F.lit(1), F.col("n") - window + 1)
+    need = F.greatest(F.lit(1), F.least(F.least(F.col("n"), F.lit(least_tokens)) - window + 1, F.col("usable")))
+    return judged.filter(F.col("n_windows") >= F.when(F.col("whole").isNotNull(), every).otherwise(need)).groupBy(
+        F.col("key").alias("text_sha256"), "item_id").agg(
+        F.max("n_windows").alias("n_windows"), F.bool_or("changed").alias("changed"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -124,3 +124,23 @@ def test_full_bitmap_changes_nothing(spark):
     small = decontaminate(docs, items, bitmap_bits=6).collect()
     large = decontaminate(docs, items).collect()
     assert sorted(map(str, small)) == sorted(map(str, large))
+
+
+VERBATIM = [
+    "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16", "3 plus 4", "Anna Bob Carl Dora Emil Fritz Gerd Hans Ida Jan",
+    "Compute 12 34 56 78 90 11 13 15 17 19 21 23 25 27 and then say which of them is largest",
+    "Birds sing songs", "Birds over the old river sing their songs", "Horses over the old river sing their songs again",
+    "River 7 8 Anna", "Which of the numbers 4 7 19 23 51 88 91 97 102 is prime",
+]
+
+
+def test_verbatim_items_are_found(spark):
+    plain = fixtures.sentence(9, 30)
+    texts = [t for x in VERBATIM for t in (x, f"{plain} {x} {plain}", f"{plain}. {x} {plain}")]
+    # An item without windows needs all its words, along one alignment.
+    texts += [plain, VERBATIM[0].replace("16", "17"), "1 2 3 4 5 6 7 8 9 x 8 9 10 11 12 13 14 15 16"]
+    rows = decontaminate(fixtures.plain(spark, texts), fixtures.items(spark, VERBATIM)).collect()
+    found = {r["doc_id"]: r["item_ids"] or [] for r in rows}
+    last = 3 * len(VERBATIM)
+    assert [i for i in range(last) if i // 3 not in found[i]] == []
+    assert [found[last + i] for i in range(3)] == [[], [], []]
