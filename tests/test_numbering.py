@@ -1,0 +1,33 @@
+"""Dense row numbers."""
+
+import pytest
+
+from sedimenta.operators import numbering
+from sedimenta.operators.numbering import dense_ids
+from tests.fixtures import plan_of
+
+
+@pytest.mark.parametrize("rows,parts", [(1000, 7), (5, 9), (1, 1), (0, 3)])
+def test_numbers_have_no_gaps(spark, rows, parts):
+    df = dense_ids(spark.range(rows).repartition(parts), "n")
+    assert sorted(r["n"] for r in df.collect()) == list(range(1, rows + 1))
+    assert df.columns == ["id", "n"]
+
+
+def test_numbers_follow_the_sorted_partitions(spark):
+    df = spark.range(500).selectExpr("id", "id AS part", "id AS offset").repartitionByRange(6, "id").sortWithinPartitions("id")
+    found = dense_ids(df, "n", first=0)
+    assert all(r["n"] == r["id"] for r in found.collect()) and found.columns == ["id", "part", "offset", "n"]
+
+
+def test_numbers_stay_when_tasks_run_again(spark):
+    df = dense_ids(spark.range(300).repartition(5), "n")
+    assert sorted(df.collect()) == sorted(df.collect())
+
+
+def test_no_task_holds_all_rows(spark, monkeypatch):
+    plan = plan_of(dense_ids(spark.range(300).repartition(5), "n"))
+    assert "Window" not in plan and "Sort" not in plan and "Exchange SinglePartition" not in plan
+    monkeypatch.setattr(numbering, "BROADCAST_PARTITIONS", 0)
+    df = dense_ids(spark.range(300).repartition(5), "n")
+    assert sorted(r["n"] for r in df.collect()) == list(range(1, 301))
