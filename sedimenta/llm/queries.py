@@ -17,6 +17,8 @@ from sedimenta.llm.rendering import render_pages
 from sedimenta.llm.secrets import scan
 from sedimenta.llm.shards import shard
 from sedimenta.llm.templates import decontaminate
+from sedimenta.llm.turns import structure_digest
+from sedimenta.llm.whitening import whiten
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +64,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_digest(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,6 +85,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_shards,
         op9_html_text,
         op10_decontaminate,
+        op11_whiten,
+        op13_turn_repair,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
