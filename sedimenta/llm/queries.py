@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from sedimenta.llm import language, quality, toxicity
+from sedimenta.llm.bbit import near_components
 from sedimenta.llm.common import table
 from sedimenta.llm.mixing import mix, taken_words
 from sedimenta.llm.naming import exact_groups
@@ -68,6 +69,10 @@ def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(table(spark, sf_dir, "documents"))
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure_digest(table(spark, sf_dir, "conversations"))
 
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_html_text,
         op10_decontaminate,
         op11_whiten,
+        op12_near_dedup,
         op13_turn_repair,
     )
 }

@@ -4,6 +4,7 @@ import pytest
 
 import corpus_pipeline
 from sedimenta.llm import language, quality, toxicity
+from sedimenta.llm.bbit import near_components
 from sedimenta.llm.mixing import mix, mixed_documents, taken_words
 from sedimenta.llm.naming import exact_groups
 from sedimenta.llm.near_join import keep_one, near_join
@@ -19,6 +20,7 @@ OPERATORS = {
     "near_join": lambda spark, docs: near_join(docs),
     "toxicity": lambda spark, docs: toxicity.score(docs, toxicity.learn(docs, fixtures.labels(spark))),
     "quality": lambda spark, docs: quality.grade(docs, quality.learn(docs, fixtures.labels(spark))),
+    "bbit": lambda spark, docs: near_components(docs),
     "naming": lambda spark, docs: exact_groups(docs),
     "language": lambda spark, docs: language.identify(docs, language.learn(docs)),
     "shards": lambda spark, docs: shard(docs),

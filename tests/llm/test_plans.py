@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from sedimenta.llm import common, mixing, naming, near_join, shards, templates
+from sedimenta.llm import bbit, common, mixing, naming, near_join, shards, templates, turns, whitening
 from tests.fixtures import plan_of
 from tests.llm import fixtures
 
@@ -18,7 +18,7 @@ def plans(monkeypatch):
         seen.append(plan_of(df))
         return common.staged(df, name)
 
-    for module in (mixing, naming, near_join, shards, templates):
+    for module in (bbit, mixing, naming, near_join, shards, templates, turns, whitening):
         monkeypatch.setattr(module, "staged", staged)
     return seen
 
@@ -41,7 +41,7 @@ def test_mixing_and_naming_are_native(spark, plans):
 def test_no_cross_joins(spark, plans):
     docs, items = fixtures.plain(spark, texts()), fixtures.items(spark)
     for result in (mixing.taken_words(mixing.mix(docs)), naming.exact_groups(docs), near_join.near_join(docs),
-                   shards.shard(docs), templates.decontaminate(docs, items)):
+                   bbit.near_components(docs), shards.shard(docs), templates.decontaminate(docs, items)):
         plans.append(plan_of(result))
     assert not any("CartesianProduct" in p or "BroadcastNestedLoopJoin" in p for p in plans)
 
