@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -51,9 +53,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, visible to every executor.
 
     The shared folder is the one named by ``spark.checkpoint.dir``; a session without
-    that setting uses its warehouse, which all executors share too.
+    that setting uses its warehouse. On a cluster a folder of the driver's own machine,
+    which is what Spark's default warehouse is, is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if urlparse(base).scheme in ("", "file") and not is_local(spark):
+            raise RuntimeError(f"{base} is a folder of one machine: set spark.checkpoint.dir to a shared one")
+        base = f"{base.rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process."""
+    return re.match(r"local(\[|$)", spark.sparkContext.master) is not None

@@ -44,6 +44,8 @@ class JdbcTable:
         ``scans`` is the number of reads that this one shares the connections with,
         itself included.
         """
+        if self.max_connections < scans:
+            raise ValueError(f"{scans} scans need a connection each, {self.max_connections} are allowed")
         predicates = date_predicates(
             self.date_column, dates, self.split_column, self.splits, self.split_bounds)
         if not predicates:
@@ -51,7 +53,7 @@ class JdbcTable:
         rows = spark.read.jdbc(
             self.url, self.table, predicates=predicates, properties=self._properties()
         )
-        return rows.coalesce(max(1, self.max_connections // scans))
+        return rows.coalesce(self.max_connections // scans)
 
     def distinct_dates(self, spark: SparkSession) -> DataFrame:
         """The dates that have rows, made distinct by the database."""
