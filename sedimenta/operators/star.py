@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.scalars import cast_as, clean_text, run_stamp, surrogate_key
+from sedimenta.operators.numbering import dense_ids
 from sedimenta.purchases import DIMENSIONS, FACT
 from sedimenta.specs import DimensionSpec, FactSpec, KeySpec
 
@@ -35,8 +36,8 @@ def build_fact(silver: DataFrame, spec: FactSpec = FACT, run_ts=None, stamp: boo
 
 
 def with_row_ids(df: DataFrame, name: str = FACT.row_id) -> DataFrame:
-    """Unique 64-bit row ids, in no particular order and with gaps. No shuffle."""
-    return df.select(F.monotonically_increasing_id().alias(name), "*")
+    """Row ids from 1 without gaps, in the order of the partitions. No shuffle of rows."""
+    return dense_ids(df, name).select(name, *df.columns)
 
 
 def build_dimension(silver: DataFrame, spec: DimensionSpec, run_ts=None,

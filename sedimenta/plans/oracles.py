@@ -330,6 +330,6 @@ SELECT * FROM earlier WHERE proc_year NOT IN (SELECT proc_year FROM silver)""",
 SELECT 'fact_purchases' AS table_name, count(*) AS row_count,
        CAST(sum(amount) AS DECIMAL(25,4)) AS amount_total FROM fact""",
     "fact_row_ids": f"""WITH {FACT}
-SELECT count(*) AS row_count, count(*) AS distinct_ids FROM fact""",
+SELECT count(*) AS row_count, count(*) AS distinct_ids, 1::BIGINT AS first_id, count(*) AS last_id FROM fact""",
     "layered_run": sizes(),
 }

@@ -223,6 +223,8 @@ def fact_row_ids(spark, sf_dir):
     return fact.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_distinct(P.FACT.row_id).alias("distinct_ids"),
+        F.min(P.FACT.row_id).alias("first_id"),
+        F.max(P.FACT.row_id).alias("last_id"),
     )
 
 
