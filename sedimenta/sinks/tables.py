@@ -23,8 +23,15 @@ from sedimenta.sinks.partitions import cluster_for_write
 from sedimenta.specs import DimensionSpec, FactSpec
 
 
-# Between the name of a published table and the mark of one of its versions.
+# Between the name of a published table and the mark of one of its versions: when it was
+# begun, and a random part.
 VERSION = "__v_"
+# Property of a published view: its version and those it had before, newest first.
+HISTORY = "sedimenta.versions"
+# Versions that stay: the live one, and the former one for queries that still read it.
+KEPT_VERSIONS = 2
+# A version that never went live belongs to a dead run once it is this old.
+ABANDONED_SECONDS = 7 * 24 * 3600
 
 
 class PublishError(RuntimeError):
@@ -41,6 +48,8 @@ class LoadMetrics:
     sums: dict[str, object]
     expected_rows: int | None = None
     bytes: int | None = None
+    # Former versions that could not be dropped after the new one went live.
+    leftovers: tuple[str, ...] = ()
 
     @property
     def megabytes_per_second(self) -> float | None:
@@ -128,11 +137,21 @@ def _renamed(spark: SparkSession, source: str, target: str) -> None:
     spark.sql(f"ALTER TABLE {source} RENAME TO {'.'.join(parts[-2:])}")
 
 
+def _dropped(spark: SparkSession, table: str) -> bool:
+    """Drop a table that nobody needs; a failure is the caller's to report."""
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        return True
+    except Exception:  # noqa: BLE001 - whatever the catalog raises
+        return False
+
+
 def swap_table(spark: SparkSession, live: str, staging: str) -> None:
     """Put ``staging`` in the place of ``live`` by renaming, as a database does it.
 
-    Two renames are not one atomic step. When the second fails the first is undone,
-    and a run that died between them is healed at the start of the next ``publish``.
+    The second rename is the commit: nothing after it can undo it. When it fails the first is
+    undone, and a run that died between them is healed at the start of the next ``publish``.
+    The former table stays beside the live one until the next swap, for queries that read it.
     """
     old = f"{live}_old"
     restore_interrupted_swap(spark, live)
@@ -143,10 +162,12 @@ def swap_table(spark: SparkSession, live: str, staging: str) -> None:
     try:
         _renamed(spark, staging, live)
     except Exception:
+        # An error after the rename was done, such as a lost answer, is no failure.
+        if spark.catalog.tableExists(live) and not spark.catalog.tableExists(staging):
+            return
         if existed:
             _renamed(spark, old, live)
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def restore_interrupted_swap(spark: SparkSession, live: str) -> bool:
@@ -158,25 +179,56 @@ def restore_interrupted_swap(spark: SparkSession, live: str) -> bool:
     return True
 
 
-def repoint_view(spark: SparkSession, live: str, version: str) -> None:
-    """Make ``live`` a view of ``version``: one catalog step, and no file moves.
+def version_name(table: str) -> str:
+    return f"{table}{VERSION}{time.time_ns() // 10**9:010d}_{uuid.uuid4().hex}"
+
+
+def version_history(spark: SparkSession, live: str) -> list[str]:
+    """Versions of a published view, the live one first; empty if there is no such view."""
+    if not spark.catalog.tableExists(live) or spark.catalog.getTable(live).tableType != "VIEW":
+        return []
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {live}").collect()}
+    return [v for v in found.get(HISTORY, "").split(",") if v]
 
-    A plain table of that name, from before there were versions, becomes one.
+
+def repoint_view(spark: SparkSession, live: str, version: str) -> tuple[str, ...]:
+    """Make ``live`` a view of ``version``: one catalog step, which is the commit.
+
+    Until then a failure leaves everything as it was; from then on nothing undoes it. The view
+    itself lists its versions, so the former one is known and kept, and versions of other
+    runs that are not live yet are not touched. A plain table of that name, from before there
+    were versions, becomes the former version. Returns former versions that could not be dropped.
     """
-    if spark.catalog.tableExists(live) and spark.catalog.getTable(live).tableType != "VIEW":
-        _renamed(spark, live, f"{live}{VERSION}{uuid.uuid4().hex}")
-    spark.sql(f"CREATE OR REPLACE VIEW {live} AS SELECT * FROM {version}")
-    drop_versions(spark, live, version)
+    plain = spark.catalog.tableExists(live) and spark.catalog.getTable(live).tableType != "VIEW"
+    history = version_history(spark, live)
+    if plain:
+        history = [version_name(live)]
+        _renamed(spark, live, history[0])
+    listed = [version, *(v for v in history if v != version)]
+    try:
+        spark.sql(f"CREATE OR REPLACE VIEW {live} TBLPROPERTIES ('{HISTORY}' = '{','.join(listed)}') "
+                  f"AS SELECT * FROM {version}")
+    except Exception:
+        if version_history(spark, live)[:1] != [version]:
+            if plain:
+                _renamed(spark, history[0], live)
+            raise
+    return tuple(v for v in listed[KEPT_VERSIONS:] if not _dropped(spark, v))
 
 
-def drop_versions(spark: SparkSession, live: str, kept: str | None) -> None:
-    """Drop the stored versions of a published table but one."""
+def drop_abandoned(spark: SparkSession, live: str, seconds: float = ABANDONED_SECONDS) -> list[str]:
+    """Drop versions that dead runs left: old ones that the live view does not list."""
     database, _, name = live.rpartition(".")
+    listed = {v.lower() for v in version_history(spark, live)}
     found = spark.sql(f"SHOW TABLES{' IN ' + database if database else ''} LIKE '{name}{VERSION}*'")
+    dropped = []
     for row in found.collect():
         version = f"{database}.{row['tableName']}" if database else row["tableName"]
-        if kept is None or version.lower() != kept.lower():
-            spark.sql(f"DROP TABLE IF EXISTS {version}")
+        begun = version.rpartition(VERSION)[2].partition("_")[0]
+        old = not begun.isdigit() or int(begun) < time.time() - seconds
+        if old and version.lower() not in listed and _dropped(spark, version):
+            dropped.append(version)
+    return dropped
 
 
 def publish(df: DataFrame, table: str, columns: Sequence[tuple[str, str]],
@@ -186,15 +238,18 @@ def publish(df: DataFrame, table: str, columns: Sequence[tuple[str, str]],
     """Load ``df`` into a typed staging table, check it and put it live.
 
     Tables stored as files (``using``) are a table per run behind a view; a catalog that
-    stores tables itself has them renamed. On any failure the staging table is dropped
-    and the live table is unchanged; what an earlier run left half swapped is restored
-    before anything else. ``unique_key`` also checks that no two staged rows share that
-    column, which is what the primary key of a dimension enforces.
+    stores tables itself has them renamed. Whatever fails before the switch drops the staging
+    table and leaves the live one alone; nothing that fails after it touches what is live.
+    What an earlier run left half swapped is restored before anything else. The staged rows
+    have to be as many as were loaded, and as ``expected_rows`` if given. ``unique_key`` also
+    checks that no two staged rows share that column, which is what the primary key of a
+    dimension enforces.
     """
     spark = df.sparkSession
     restore_interrupted_swap(spark, table)
-    staging = f"{table}{VERSION}{uuid.uuid4().hex}" if using else f"{table}_new"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    staging = version_name(table) if using else f"{table}_new"
+    if not using:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
     try:
         create_table(spark, staging, columns, using, lookups)
         metrics = load_table(df, staging, sums, expected_rows)
@@ -202,21 +257,23 @@ def publish(df: DataFrame, table: str, columns: Sequence[tuple[str, str]],
         stored = staged.count()
         if stored != metrics.rows:
             raise PublishError(f"{staging} holds {stored} rows, {metrics.rows} were loaded")
-        if expected_rows is not None and stored > expected_rows:
+        if expected_rows is not None and stored != expected_rows:
             raise PublishError(f"{staging} holds {stored} rows, {expected_rows} were expected")
         if unique_key is not None:
             repeated = staged.groupBy(unique_key).count().where("count > 1").limit(1)
             if not repeated.isEmpty():
                 raise PublishError(f"{staging}.{unique_key} is not unique")
+        leftovers: tuple[str, ...] = ()
         if using:
-            repoint_view(spark, table, staging)
+            leftovers = repoint_view(spark, table, staging)
         else:
             create_indexes(spark, staging, lookups)
             swap_table(spark, table, staging)
     except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        # The switch raises only if it has not happened.
+        _dropped(spark, staging)
         raise
-    return replace(metrics, table=table)
+    return replace(metrics, table=table, leftovers=leftovers)
 
 
 def publish_fact(fact: DataFrame, spec: FactSpec, table: str, using: str | None = "parquet",
