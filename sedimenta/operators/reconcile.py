@@ -6,12 +6,14 @@ is ever shuffled, and counting the lake reads no column other than the date.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.functions.scalars import date_value
 from sedimenta.purchases import RECENT_DAYS
-from sedimenta.sources.dates import DateSet
+from sedimenta.sources.dates import DateSet, make_date_set
 
 RECENT = "recent"
 FLAGGED = "flagged"
@@ -94,25 +96,31 @@ def reconcile_flagged(lake: DataFrame, late: DataFrame, totals: DataFrame, as_of
 
 def reconcile(lake: DataFrame, late: DataFrame, totals: DataFrame, as_of=None,
               days: int = RECENT_DAYS, date: str = "proc_date",
-              candidates: DateSet | None = None) -> DataFrame:
+              candidates: DateSet | None = None,
+              counted: dict[dt.date, int] | None = None) -> DataFrame:
     """Both reports in one, counting the lake and the totaliser once.
 
     ``reason`` tells why a date was looked at. ``candidates`` (from
-    ``candidate_dates``) limits the counting to the folders that matter.
+    ``candidate_dates``) limits the counting to the folders that matter; of those, dates
+    whose stored rows are known already (``counted``) are not opened.
     """
+    spark, known = lake.sparkSession, []
     recent = in_recent_window(F.col(date), as_of, days)
     spine = date_spine(lake.sparkSession, as_of, days, date)
     if candidates is None:
         flagged = late_dates(late.where(~recent), date)
     else:
-        lake, totals = candidates.restrict(lake, date), candidates.restrict(totals, date)
-        flagged = candidates.frame(lake.sparkSession, date).where(~recent)
+        known = [(d, n) for d, n in (counted or {}).items() if d in set(candidates.dates)]
+        open_dates = make_date_set(date, set(candidates.dates) - {d for d, _ in known})
+        lake, totals = open_dates.restrict(lake, date), candidates.restrict(totals, date)
+        flagged = candidates.frame(spark, date).where(~recent)
     dates = spine.select(date, F.lit(RECENT).alias("reason")).unionByName(
         flagged.select(date, F.lit(FLAGGED).alias("reason"))
     )
-    return compare_counts(
-        dates, expected_counts(totals, date), actual_counts(lake, date), date
-    ).orderBy(F.desc(date))
+    actual = actual_counts(lake, date)
+    if known:
+        actual = actual.unionByName(spark.createDataFrame(known, f"{date} date, actual_rows long"))
+    return compare_counts(dates, expected_counts(totals, date), actual, date).orderBy(F.desc(date))
 
 
 def candidate_dates(late: DataFrame, as_of=None, days: int = RECENT_DAYS,

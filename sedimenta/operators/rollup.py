@@ -28,7 +28,8 @@ def representative(df: DataFrame, keys: list[str], column: str) -> DataFrame:
 
 def monthly_rollup(df: DataFrame, spec: RollupSpec = ROLLUP, as_of=None, run_ts=None,
                    stamp: bool = True, year_from: str = "processing",
-                   strict: bool = True, prune_by: str | None = None) -> DataFrame:
+                   strict: bool = True, prune_by: str | None = None,
+                   first_event: str | None = None) -> DataFrame:
     """Sums per key and month over the rolling window.
 
     Grouping uses raw values: '1' and '01' stay two rows although both are
@@ -39,7 +40,8 @@ def monthly_rollup(df: DataFrame, spec: RollupSpec = ROLLUP, as_of=None, run_ts=
     ``prune_by`` names the processing date. Where nothing is processed before it
     is issued, the window holds for that date too, and lake folders before it are
     not listed or opened at all. It is off by default because it would lose rows
-    where that does not hold.
+    where that does not hold. ``first_event`` names a column with the earliest event
+    date of each group, from which a later run knows what has left the window.
     """
     rows = rolling_window(df, spec.event_date, as_of, spec.window_months)
     if prune_by is not None:
@@ -51,10 +53,11 @@ def monthly_rollup(df: DataFrame, spec: RollupSpec = ROLLUP, as_of=None, run_ts=
     grouped = rows.groupBy(*spec.keys).agg(
         *[F.sum(c).alias(c) for c in spec.sums],
         *[F.max(c).alias(c) for c in spec.representatives],
+        *([F.min(spec.event_date).alias(first_event)] if first_event else []),
     )
     shaped = {spec.month_key: month_start(spec.month_key, strict)}
     shaped.update({c: pad_id(c) for c in spec.padded})
     if stamp:
         shaped[spec.stamp] = run_stamp(run_ts)
-    columns = list(spec.output) + ([spec.stamp] if stamp else [])
+    columns = list(spec.output) + ([spec.stamp] if stamp else []) + ([first_event] if first_event else [])
     return grouped.withColumns(shaped).select(*columns)
