@@ -20,8 +20,8 @@ blocks, while near copies of one text, however many, are joined through pivots.
 N-grams are hashed to 32 bits within sets; for a pair of n-gram counts a and b that makes
 a*b / 2^32 false matches likely, below one in ten thousand of the union up to 400,000 words.
 
-Defined cases: a null text counts as empty; texts without words are copies of each other
-and have no links; a text of fewer than n words is one n-gram; null ids, ties and repeated
+Defined cases: a null text counts as empty; texts without words are copies only if they are
+the same character by character, and have no links; a text of fewer than n words is one n-gram; null ids, ties and repeated
 rows are rows like others; an empty table gives an empty result; other columns are not
 read by the join and are kept by ``keep_one``.
 """
@@ -102,7 +102,7 @@ def signature(grams: np.ndarray, mix: np.ndarray, slice_: int = 4096) -> np.ndar
 
 
 def profiles(docs: DataFrame, text_col: str, gram: int, bands: int, rows: int, keep: list[str]) -> DataFrame:
-    """Kept columns, key (digest of the words), grams (sorted set), bands (hashes)."""
+    """Kept columns, key (digest of the words, or of a text without any), grams (sorted set), bands (hashes)."""
     mix = (np.random.default_rng(7).integers(0, 1 << 63, bands * rows, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
     def start():
@@ -112,7 +112,9 @@ def profiles(docs: DataFrame, text_col: str, gram: int, bands: int, rows: int, k
             keys, sets, hashes = [], [], []
             for text in texts:
                 words = WORDS.findall((text or "").lower())
-                keys.append(hashlib.sha256(" ".join(words).encode("utf-8", "replace")).digest())
+                # No word holds the first character, so a text without words is no other's copy.
+                named = " ".join(words) if words else "\0" + (text or "")
+                keys.append(hashlib.sha256(named.encode("utf-8", "replace")).digest())
                 found = grams.of(words) if words else np.zeros(0, dtype=np.uint32)
                 sets.append(found.view(np.int32))
                 total = np.arange(bands, dtype=np.uint64) if words else np.zeros(0, dtype=np.uint64)

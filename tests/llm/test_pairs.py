@@ -14,9 +14,10 @@ from tests.llm import fixtures
 def brute(texts):
     groups = defaultdict(list)
     for i, t in enumerate(texts):
-        groups[tuple(re.findall(r"\w+", (t or "").lower()))].append(i)
+        words = tuple(re.findall(r"\w+", (t or "").lower()))
+        groups[words, None if words else t or ""].append(i)
     keys = list(groups)
-    sets = [{k[i:i + 5] for i in range(max(1, len(k) - 4))} if k else set() for k in keys]
+    sets = [{k[i:i + 5] for i in range(max(1, len(k) - 4))} if k else set() for k, _ in keys]
     parent, degree = list(range(len(keys))), Counter()
 
     def root(a):
@@ -55,7 +56,7 @@ def test_classes_and_links(spark, monkeypatch, block):
     rng = random.Random(8)
     texts = near_copies(120, fixtures.sentence(1, 150), 6, rng)
     texts += near_copies(20, fixtures.sentence(2, 60), 2, rng) + [fixtures.sentence(3, 80)] * 90
-    texts += [fixtures.sentence(3, 80).upper() + "!", "one two three", "One, two three.", "one two", None, "", "?"]
+    texts += [fixtures.sentence(3, 80).upper() + "!", "one two three", "One, two three.", "one two", None, "", "?", "?", "!!! ???", "\U0001f600", "\U0001f600\U0001f680", "-- ++ =="]
     texts += [fixtures.sentence(i, 30) for i in range(100, 160)]
     expected = brute(texts)
     for r in nj.near_join(fixtures.plain(spark, texts)).collect():
@@ -64,6 +65,12 @@ def test_classes_and_links(spark, monkeypatch, block):
         assert r["kept"] == (r["doc_id"] == r["class_id"])
 
 
+def test_texts_without_words_are_kept_apart(spark):
+    texts = ["!!! ???", "\U0001f600", "\U0001f680", "", None, "-- ++ ==", "\U0001f680", "words here", "Words, here!"]
+    kept = {r["doc_id"] for r in nj.keep_one(fixtures.plain(spark, texts)).collect()}
+    assert kept == {0, 1, 2, 3, 5, 7}
+
+
 def test_chain_is_one_class(spark):
     words = fixtures.sentence(5, 100).split()
     texts = []
