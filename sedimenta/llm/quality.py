@@ -35,6 +35,7 @@ EPOCHS = 15
 BATCH = 256
 CUT = 0.5
 CACHE = 400_000
+KEPT_TOKEN = 64
 
 REPEATED = re.compile(r"(.)\1+")
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -46,7 +47,7 @@ def shape(token: str) -> str:
         word = m.group()
         return "a" if word.islower() else "A" if word.isupper() else "Aa"
 
-    return REPEATED.sub(r"\1\1", re.sub(r"\d+", "0", LETTERS.sub(letters, token[:64])))
+    return REPEATED.sub(r"\1\1", re.sub(r"\d+", "0", LETTERS.sub(letters, token)))
 
 
 class Features(dict):
@@ -61,7 +62,10 @@ class Features(dict):
     def __missing__(self, token: str) -> tuple[int, int]:
         if len(self) >= CACHE:
             self.clear()
-        self[token] = found = (self.of("w" + token.lower()), self.of("s" + shape(token)))
+        found = self.of("w" + token.lower()), self.of("s" + shape(token))
+        # Runs without white space may be as long as a text; they do not come again.
+        if len(token) <= KEPT_TOKEN:
+            self[token] = found
         return found
 
     def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
