@@ -12,14 +12,19 @@ of costs, one column per language, so a text is looked up with a sorted search p
 order, and only the bytes that no language has seen go on to a shorter context.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; ties go to
-the first language by code point; with no labelled row every text is ``und``; a language
-is learnt from at most its part of ``SAMPLE_ROWS`` rows; a text may be of any length (it is
-read in pieces); columns other than id, text and, for learning, lang are not read.
+the first language by code point; with no labelled row every text is ``und``. Every language
+that a row to learn from has is learnt, from its part of ``SAMPLE_ROWS`` rows (one at least);
+of a row longer than ``MAX_BYTES`` a slice is learnt, at a place that its id's hash says. A
+text may be of any length when it is judged (it is read in pieces); columns other than id,
+text and, for learning, lang are not read. A letter is a character of a letter category.
+
+The trees are as large as the contexts seen times the languages: at 8,000 rows of a few
+kilobytes and tens of languages some hundred megabytes on the driver. For many hundreds of
+languages ``rows`` has to be lowered.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,12 +38,12 @@ from sedimenta.llm.common import held_out, map_texts
 ORDER = 3
 SAMPLE_ROWS = 8_000
 MAX_BYTES = 32_768
-MAX_LANGUAGES = 500
 PIECE = 1 << 19
 UNKNOWN = "und"
 PAD = b" " * ORDER
 
-LETTER = re.compile(r"[^\W\d_]")
+# A slice of this many characters never has more bytes than MAX_BYTES.
+SLICE = MAX_BYTES // 4
 
 
 def grams(data: np.ndarray, order: int) -> np.ndarray:
@@ -132,31 +137,41 @@ def plant(languages: tuple[str, ...], counts: dict[int, tuple[np.ndarray, np.nda
     return Trees(languages, tuple(codes), tuple(costs), tuple(contexts), tuple(escapes))
 
 
+def sampled(able: DataFrame, sizes: list[tuple[str, int]], each: int) -> DataFrame:
+    """(id, lang) of about ``each`` rows per language, those with the least hashes of their ids."""
+    spark = able.sparkSession
+    # Ten standard deviations above the part: fewer come through once in 10^20 times.
+    most = each + 10 * each**0.5 + 50
+    shares = spark.createDataFrame([(lang, min(1.0, most / n)) for lang, n in sizes], "lang string, share double")
+    unit = F.shiftrightunsigned(F.xxhash64("id"), 11) / float(1 << 53)
+    least = able.join(F.broadcast(shares), "lang").filter(unit < F.col("share")).select("id", "lang").distinct()
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    return least.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= each).select("id", "lang")
+
+
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          rows: int = SAMPLE_ROWS, max_bytes: int = MAX_BYTES, languages: int = MAX_LANGUAGES) -> Trees:
+          rows: int = SAMPLE_ROWS) -> Trees:
     """Count on a bounded sample of labelled rows that are not held out.
 
-    The rows are shared out evenly among the languages (the most frequent ``languages``
-    of them) and taken in the order of a hash of the id.
+    The rows are shared out evenly among all languages and taken in the order of a hash of the
+    id. Only rows whose hash is below a bound are ordered at all; it lets through a few more
+    than a language's part, by its number of rows, so no language is sorted as a whole.
     """
     able = docs.filter(
-        F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()
-        & ~held_out(F.col(id_col)) & (F.octet_length(text_col) <= max_bytes)
+        F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))
     ).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    common = able.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
-    names = tuple(sorted((r["lang"] for r in common.collect()), key=lambda x: x.encode()))
+    sizes = able.groupBy("lang").count().collect()
+    names = tuple(sorted((r["lang"] for r in sizes), key=lambda x: x.encode()))
     if not names:
         empty = np.zeros(0, dtype=np.int64)
         return plant((), {o: (empty, empty, empty) for o in range(ORDER + 1)})
     each = max(1, rows // len(names))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (
-        able.select("id", "lang").filter(F.col("lang").isin(*names))
-        .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= each)
-        .select("id", "lang").distinct()
-    )
-    # At most ``rows`` pairs of a number and a language.
+    chosen = sampled(able.select("id", "lang"), [(r["lang"], r["count"]) for r in sizes], each)
+    # At most a row of an id and a language for each row to learn from.
     texts = able.join(F.broadcast(chosen), ["id", "lang"], "left_semi")
+    start = F.pmod(F.xxhash64("id"), F.greatest(F.length("text") - SLICE, F.lit(1))).cast("int") + 1
+    texts = texts.withColumn("text", F.when(F.octet_length("text") <= MAX_BYTES, F.col("text")).otherwise(
+        F.col("text").substr(start, F.lit(SLICE))))
     number = {name: i for i, name in enumerate(names)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +214,7 @@ def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: st
                 ends = np.concatenate([[0], np.cumsum([len(d) for d in held])])
                 np.add.at(total, rows, model.bits(np.concatenate(held), ends))
 
-            judged = [i for i, t in enumerate(texts) if t is not None and LETTER.search(t)]
+            judged = [i for i, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))]
             for i in judged:
                 data = padded(texts[i])
                 # Pieces of a long text overlap by the padding, so its code is the same.
