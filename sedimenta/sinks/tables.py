@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.operators.star import build_dimension, with_row_ids
-from sedimenta.sinks.partitions import cluster_for_write
+from sedimenta.session import scratch_path
+from sedimenta.sinks.clustering import cluster
 from sedimenta.specs import DimensionSpec, FactSpec
 
 
@@ -87,16 +88,6 @@ def observed(df: DataFrame, sums: Iterable[str] = ()) -> tuple[DataFrame, Observ
     return df.observe(observation, *measures), observation
 
 
-def lookup_layout(df: DataFrame, month: str, columns: Sequence[str]) -> DataFrame:
-    """Data layout that serves lookups by month and key.
-
-    Rows of a month go together and are sorted by key inside a file, so the
-    min/max statistics of the row groups skip what a lookup does not need. A heavy
-    month is split over many files.
-    """
-    return cluster_for_write(df, [month]).sortWithinPartitions(month, *columns)
-
-
 def create_table(spark: SparkSession, table: str, columns: Sequence[tuple[str, str]],
                  using: str | None = "parquet", lookups: Iterable[str] = ()) -> None:
     """A typed table. In Parquet, ``lookups`` get Bloom filters in every row group."""
@@ -278,7 +269,10 @@ def publish(df: DataFrame, table: str, columns: Sequence[tuple[str, str]],
 
 def publish_fact(fact: DataFrame, spec: FactSpec, table: str, using: str | None = "parquet",
                  expected_rows: int | None = None) -> LoadMetrics:
-    laid_out = lookup_layout(fact, spec.month, spec.sort_columns())
+    rows = fact.count() if expected_rows is None else expected_rows
+    # The month leads: most lookups give one.
+    columns = sorted(spec.lookups, key=lambda c: c != spec.month)
+    laid_out = cluster(fact, columns, rows) if columns else fact
     return publish(with_row_ids(laid_out, spec.row_id), table, spec.ddl(),
                    sums=spec.totals, using=using, expected_rows=expected_rows,
                    lookups=spec.lookups)
@@ -289,13 +283,17 @@ def publish_dimension(silver: DataFrame, spec: DimensionSpec, database: str,
     """Build and publish one dimension; a failure is returned, not raised."""
     table = f"{database}.{spec.table}"
     try:
-        members = lookup_layout(
-            build_dimension(silver, spec, run_ts), spec.month, spec.sort_columns()
-        )
+        # Written once: the layout reads them for quantiles, for ranges and for the table.
+        members = build_dimension(silver, spec, run_ts)
+        path = scratch_path(silver.sparkSession, spec.table)
+        members.write.parquet(path)
+        members = silver.sparkSession.read.schema(members.schema).parquet(path)
+        count = members.count()
+        members = cluster(members, spec.lookup_columns(), count)
         # Grouping already makes the key unique unless other attributes are shown.
         only_key = set(spec.attributes) <= set(spec.key.columns)
-        metrics = publish(members, table, spec.ddl(), using=using,
-                          unique_key=None if only_key else spec.key.name)
+        metrics = publish(members, table, spec.ddl(), using=using, expected_rows=count,
+                          unique_key=None if only_key else spec.key.name, lookups=spec.lookup_columns())
         return PublishResult(table, metrics)
     except Exception as error:  # noqa: BLE001 - reported per dimension
         return PublishResult(table, error=str(error))

@@ -81,13 +81,10 @@ class FactSpec:
             + [(self.stamp, "timestamp")]
         )
 
-    def sort_columns(self) -> tuple[str, ...]:
-        return tuple(k.name for k in self.keys)
-
 
 @dataclass(frozen=True)
 class DimensionSpec:
-    """A dimension: source columns, the columns its key is made of, renames."""
+    """A dimension: source columns, the columns its key is made of, renames, lookup columns."""
 
     table: str
     key: KeySpec
@@ -97,6 +94,7 @@ class DimensionSpec:
     key_type: str = "varchar(50)"
     attribute_type: str = "varchar(255)"
     stamp: str = "updated_at"
+    lookups: tuple[str, ...] = ()
 
     def output_name(self, attribute: str) -> str:
         return self.renames.get(attribute, attribute)
@@ -108,5 +106,6 @@ class DimensionSpec:
             + [(self.month, "date"), (self.stamp, "timestamp")]
         )
 
-    def sort_columns(self) -> tuple[str, ...]:
-        return (self.output_name(self.attributes[0]),)
+    def lookup_columns(self) -> tuple[str, ...]:
+        """Columns that readers look members up by: the key first, then ``lookups`` or the first attribute."""
+        return (self.key.name, *(self.output_name(a) for a in self.lookups or self.attributes[:1]))

@@ -266,12 +266,6 @@ def test_fact_table_types(spark, database):
     assert stored.schema["quantity"].dataType.simpleString() == "int"
 
 
-def test_layout_sorts_without_a_global_sort(spark):
-    plan = plan_of(S.lookup_layout(build_fact(silver(spark, [row()])), "issue_month", ["brand_id"]))
-    assert "rangepartitioning" not in plan
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan
-
-
 def test_one_failing_dimension_does_not_stop_the_rest(spark, database):
     broken = DimensionSpec("dim_broken", KeySpec("id", ("absent",)), ("absent",), "issue_month")
     results = S.publish_dimensions(silver(spark, [row()]), [broken, P.DIM_BRAND], database, RUN_TS)
