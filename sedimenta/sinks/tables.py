@@ -271,7 +271,7 @@ def publish_fact(fact: DataFrame, spec: FactSpec, table: str, using: str | None
                  expected_rows: int | None = None) -> LoadMetrics:
     rows = fact.count() if expected_rows is None else expected_rows
     # The month leads: most lookups give one.
-    columns = sorted(spec.lookups, key=lambda c: c != spec.month)
+    columns = sorted((c for c in spec.lookups if c in fact.columns), key=lambda c: c != spec.month)
     laid_out = cluster(fact, columns, rows) if columns else fact
     return publish(with_row_ids(laid_out, spec.row_id), table, spec.ddl(),
                    sums=spec.totals, using=using, expected_rows=expected_rows,
