@@ -3,6 +3,8 @@
 import hashlib
 import html
 import re
+import time
+from random import Random
 
 import pytest
 
@@ -101,6 +103,27 @@ def test_random_strings_of_one_case(run, found):
         [(4, 3, 4 + len(run))] if found else [])
 
 
+def test_runs_and_base_spans_are_merged_in_one_pass():
+    """Runs that a base span touches are left out, however many there are of both."""
+    with open(secrets.VOCABULARY, "rb") as f:
+        tokens = secrets._tokens(f.read())
+    lines = [f"deadbeefdeadbeef{i:04x} AKIAABCDEFGHIJ{i:06d} secret = xT9qLmZ4vRw8KpN2sYb{i} run xT9qLmZ4vRw8KpN2sYb{i}"
+             for i in range(400)]
+    text = "\n".join(lines)
+    base = secrets.base_spans(text)
+    slow = [(m.start(), 3, m.end()) for m in secrets.RUN.finditer(text)
+            if not any(s < m.end() and e > m.start() for s, _, e in base)]
+    assert secrets.random_spans(text, base, tokens, secrets.CHARS_PER_TOKEN) == slow and len(slow) == 400
+
+    def seconds(copies):
+        long = "\n".join(lines * copies)
+        at = time.process_time()
+        secrets.random_spans(long, secrets.base_spans(long), lambda run: [0], secrets.CHARS_PER_TOKEN)
+        return time.process_time() - at
+
+    assert seconds(80) < 10 * seconds(20) + 0.2
+
+
 @pytest.mark.parametrize("markup, text", [
     (None, ""), ("", ""), ("just text", "just text"),
     ("<p>one<p>two &amp; three", "one\n\ntwo & three"),
@@ -117,6 +140,25 @@ def test_random_strings_of_one_case(run, found):
     ("<dl><dt>t<dd>d<dt>u<dd>e</dl>", "t\n  d\nu\n  e"),
     ("<h1>A <b>b</b></h1><hr>c", "A b\n\nc"),
     ("<a title='x>y'>t</a>", "t"),
+    ("<xmp>\n<b>x</b> &amp;</xmp>y", "<b>x</b> &amp;\n\ny"), ("a<textarea>\nb &lt; c\nd</textarea>e", "a\nb < c\nd\ne"),
+    ("<select><option>a<option>b</select>", "a\nb"), ("<dialog>x</dialog><dialog open>y</dialog>", "y"),
+    ("<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>q</annotation></math>.", "x=2."),
+    ("<svg><title>t</title><g>no<text>yes</text><path/><text>two</text></g></svg>after", "yes two after"),
+    ("<svg><p>out</p></svg>", "out"), ("<object>a</object><object data=x>b</object>", "a"),
+    ("<input type=submit value='Go &amp; on'><input type=hidden value=no><input type=password value=no>", "Go & on"),
+    ("<div style='visibility:hidden'>a<b style='visibility: visible'>b</b>c<i style='visibility:inherit'>d</i></div>", "b"),
+    ("<p hidden style='display:block'>a<p style='visibility:hidden;visibility:visible'>b<p hidden>c", "a\n\nb"),
+    ("a<br><br>b<br>c", "a\n\nb\nc"), ("<p>a<br></p>b", "a\n\nb"),
+    ("<table><form><tr><td>a<td>b</tr><tr><td>cc<td>d</tr></form></table>", "a   b\ncc  d"),
+    ("<table><td>a<td>b<tr><td>cc<td>d</table>", "a   b\ncc  d"),
+    ("<table><tr><form><td>a</form><td>b</table>", "a  b"),
+    ("<table><tr><td><p>one<p>two<ul><li>x<li>y</ul><td>side</table>", "one  side\n\ntwo\n\n- x\n- y"),
+    ("<table><tr><td>out<td><table><tr><td>i<td>j<tr><td>kk<td>l</table></table>", "out  i   j\n     kk  l"),
+    ("<table><tr><td>a<td>b<td>c<tr><td colspan=2>wide one<td>d<tr><td rowspan=2>r<td>1<td>2<tr><td>3<td>4</table>",
+     "a  b      c\nwide one  d\nr  1      2\n   3      4"),
+    ("<table><tfoot><tr><td>sum<td>3</tfoot><tr><td>x<td>1<thead><tr><td>h<td>n</table>", "h    n\nx    1\nsum  3"),
+    ("<table>stray<p>two</p><tr><td>a</table>", "stray\ntwo\na"), ("<td>a<td>b", "a b"),
+    ("<table><tr><td><ul><li>a<table><tr><td><li>b</table></ul></table>", "- a\n\n  - b"),
 ])
 def test_rendering(markup, text):
     assert extract(markup) == text
@@ -128,6 +170,71 @@ def test_deep_and_broken_markup_is_linear():
     assert extract("<li>" * 20_000 + "x").strip().endswith("x")
 
 
+@pytest.mark.parametrize("page", [
+    "<table><tr><td>" + "x" * 100_000 + "<td>b" + "<tr><td>a<td>b" * 2000, "<blockquote>x" * 4000, "<ul><li>x" * 10_000,
+    "<p><button>" + "<span>" * 10_000 + "<div>" * 10_000, "<table><tr><td>x" * 7000, "<table><p>a" * 9000,
+    "<table><tr>" + "<td colspan=1000 rowspan=60000>a" * 2000 + "<tr><td>b" * 5000, "<select><option>a" * 8000,
+    "<table>" + "".join(f"<tr><td colspan={i}>a<td>b" for i in range(1, 1000)) * 5, "<ol start=-999999999>" + "<li>x" * 20_000,
+    "<table><tr><td>" + "x<br>" * 20_000 + "<td>y" * 20_000, "<table>" + "<form>" * 5000 + "<tr><td>a" * 5000,
+    "<table><tr>" + "<td>".join(["w" * 40] * 60) + ("<tr>" + "<td>a" * 60) * 400, "<svg>" * 10_000 + "<text>a",
+])
+def test_hostile_pages_take_linear_work_and_room(page):
+    """Twice the page takes about twice the time, and neither is blown up by its layout."""
+    at = time.process_time()
+    text = extract(page)
+    took = time.process_time() - at
+    assert len(text) < 3 * len(page) and took < 5
+    if took > 0.5:
+        at = time.process_time()
+        extract(page * 2)
+        assert time.process_time() - at < 3.5 * took
+
+
+INLINE = ("b", "span", "i style='visibility:visible'", "math", "button", "x-own")
+OUTER = ("p", "div", "ul><li", "ol start=4><li", "blockquote", "table><tr><td", "table><form><tr><th", "dl><dd", "form",
+         "dialog open", "section", "details", "h2", "table><caption", "fieldset")
+LEAVES = ("{}", "<pre>{}\n </pre>", "<textarea>{}</textarea>", "<xmp>{}</xmp>", "<select><option>{}</select>",
+          "<svg><text>{}</text></svg>", "<input value={}>", "{}<br><br>", "<td>{}")
+GONE = ("<p hidden>{}</p>", "<script>{}</script>", "<dialog>{}</dialog>", "<!-- {} -->", "<input type=hidden value={}>",
+        "<b style='visibility:hidden'>{}</b>", "<div style='display:none'><p>{}</div>", "<svg><desc>{}</desc></svg>")
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_visible_words_of_generated_trees(seed):
+    """Every word that a tree shows comes out once, and none that it hides."""
+    random = Random(seed)
+    shown, count = [], 0
+
+    def word():
+        nonlocal count
+        count += 1
+        return f"w{count}w"
+
+    def grow(depth):
+        parts = []
+        for _ in range(random.randint(1, 4)):
+            kind = random.random()
+            if kind < 0.35 or depth == 0:
+                shown.append(word())
+                parts.append(random.choice(LEAVES).format(shown[-1]))
+            elif kind < 0.5:
+                parts.append(random.choice(GONE).format(word()))
+            elif kind < 0.6:
+                tag = random.choice(INLINE)
+                shown.append(word())
+                parts.append(f"<{tag}>{shown[-1]}</{tag.split()[0]}>")
+            else:
+                tag = random.choice(OUTER)
+                inside = grow(depth - 1)
+                names = [t.split()[0] for t in tag.split("><")]
+                closing = "".join(f"</{n}>" for n in reversed(names)) if random.random() < 0.8 else f"</{names[0]}>"
+                parts.append(f"<{tag}>{inside}{closing}")
+        return " ".join(parts)
+
+    page = grow(4)
+    assert sorted(re.findall(r"w\d+w", extract(page))) == sorted(shown), page
+
+
 def test_every_visible_word_once(spark):
     for r in table(spark, "/root/testdata/sf0.001", "pages").collect():
         shown = re.sub(r"(?s)<(script|style|title)[^>]*>.*?</\1>|<!--.*?-->", " ", r["html"])
