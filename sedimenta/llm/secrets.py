@@ -8,8 +8,8 @@ and of words that need few tokens are excluded, and what a fixed pattern already
 is not reported again.
 
 Defined cases: a null text counts as empty, which has no spans; spans count code points
-and exclude their end; a text may be of any length (runs are encoded in slices, so the
-work is linear); repeated rows give repeated results; an empty table gives an empty
+and exclude their end; a text may be of any length (runs are encoded in slices and merged with
+the fixed patterns' spans in one pass, so the work is linear); repeated rows give repeated results; an empty table gives an empty
 result; columns other than the id and the text are not read.
 """
 
@@ -79,10 +79,15 @@ def is_known(run: str, tokens, limit: float) -> bool:
 
 
 def random_spans(text: str, taken: Sequence[Span], tokens, limit: float) -> list[Span]:
-    spans = []
+    """``taken`` is in order of its starts; runs that it touches are left out."""
+    spans, at, covered = [], 0, 0
     for m in RUN.finditer(text):
         run, start, end = m.group(), m.start(), m.end()
-        if any(s < end and e > start for s, _, e in taken):
+        # Spans that start before this run's end; what ends before its start touches no later run either.
+        while at < len(taken) and taken[at][0] < end:
+            covered = max(covered, taken[at][2])
+            at += 1
+        if covered > start:
             continue
         if len(run) < limit * n_tokens(run, tokens) and not is_known(run, tokens, limit):
             spans.append((start, 3, end))
