@@ -72,6 +72,11 @@ class Rows:
         place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.ends[at], sizes)
         return row, self.features[place], self.values[place]
 
+    def part(self, at: np.ndarray) -> Rows:
+        """The chosen rows."""
+        _, feature, value = self.take(at)
+        return Rows(np.concatenate([[0], np.cumsum(self.ends[at + 1] - self.ends[at])]), feature, value)
+
     def only(self, keep: np.ndarray) -> Rows:
         """The features for which ``keep`` is true, numbered anew."""
         ok = keep[self.features]
