@@ -45,8 +45,8 @@ from sedimenta.llm.common import fresh, map_texts, small_batches, small_join, st
 WORDS = re.compile(r"\w+")
 GRAM = 5
 THRESHOLD = 0.8
-RECALL = 0.99999
-MAX_HASHES = 96
+RECALL = 0.9999
+MAX_HASHES = 192
 BLOCK_TEXTS = 400
 BLOCK_GRAMS = 400_000
 CACHE = 50_000

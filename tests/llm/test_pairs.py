@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from sedimenta.llm import near_join as nj
+from sedimenta.llm.common import table
 from sedimenta.llm.templates import contaminated_texts, decontaminate
 from tests.llm import fixtures
 
@@ -86,6 +87,33 @@ def test_chain_is_one_class(spark):
 def test_bands_reach_the_recall():
     bands, rows = nj.choose_bands(0.8)
     assert bands * rows <= nj.MAX_HASHES and 1 - (1 - 0.8**rows) ** bands >= nj.RECALL
+    # Texts that share half or less of their n-grams mostly stay out of each other's buckets.
+    assert 1 - (1 - 0.5**rows) ** bands < 0.4 and 1 - (1 - 0.3**rows) ** bands < 0.03
+
+
+def test_recall_on_documents(spark):
+    """Every pair of different texts from 0.8 up is a link, and no other is."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    groups = defaultdict(list)
+    for r in docs.select("doc_id", "text").collect():
+        words = tuple(re.findall(r"\w+", (r["text"] or "").lower()))
+        if words:
+            groups[words].append(r["doc_id"])
+    sets = [{k[i:i + 5] for i in range(max(1, len(k) - 4))} for k in groups]
+    holders, links = defaultdict(list), Counter()
+    for i, grams in enumerate(sets):
+        both = Counter()
+        for g in grams:
+            both.update(holders[g])
+            holders[g].append(i)
+        for j, n in both.items():
+            if n >= 0.8 * (len(grams) + len(sets[j]) - n):
+                links[i] += 1
+                links[j] += 1
+    expected = {d: links[i] for i, ids in enumerate(groups.values()) for d in ids}
+    assert sum(links.values()) > 100
+    found = {r["doc_id"]: r["n_links"] for r in nj.near_join(docs).collect()}
+    assert {d: found[d] for d in expected} == expected
 
 
 ITEM = ("A train leaves Boston at 7 with 120 seats and travels 30 miles before it stops. Later the same train "
