@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,9 @@ from sedimenta.operators.numbering import dense_ids
 from sedimenta.purchases import DIMENSIONS, FACT
 from sedimenta.specs import DimensionSpec, FactSpec, KeySpec
 
+# Column of the members of several dimensions that says which grouping set a row is of.
+MEMBER_SET = "member_set"
+
 
 def fact_key(key: KeySpec):
     """Surrogate key, NULL when its leading part is: dimensions have no such member."""
@@ -48,21 +51,12 @@ def build_dimension(silver: DataFrame, spec: DimensionSpec, run_ts=None,
     grouped raw, so hashing and cleaning run once per member instead of once per
     row, and the partial aggregate folds a heavy member before the shuffle.
     """
-    key_columns = spec.key.columns
-    others = [a for a in spec.attributes if a not in key_columns]
     members = (
-        silver.where(F.col(key_columns[0]).isNotNull())
-        .groupBy(*key_columns, *[clean_text(a).alias(a) for a in others])
-        .agg(F.max(spec.month).alias(spec.month))
+        silver.where(F.col(spec.key.columns[0]).isNotNull())
+        .groupBy(*[part.alias(name) for name, part in _parts(spec).items()])
+        .agg(F.max(spec.month).alias(f"month_{spec.month}"))
     )
-    columns = [surrogate_key(*key_columns).alias(spec.key.name)]
-    columns += [
-        (clean_text(a) if a in key_columns else F.col(a)).alias(a) for a in spec.attributes
-    ]
-    columns.append(F.col(spec.month))
-    if stamp:
-        columns.append(run_stamp(run_ts).alias(spec.stamp))
-    return members.select(*columns).withColumnsRenamed(spec.renames)
+    return _shown(members, spec, _member_key(spec), run_ts, stamp)
 
 
 def build_dimensions(silver: DataFrame, specs: Iterable[DimensionSpec] = DIMENSIONS,
@@ -71,6 +65,63 @@ def build_dimensions(silver: DataFrame, specs: Iterable[DimensionSpec] = DIMENSI
     return {s.table: build_dimension(silver, s, run_ts) for s in specs}
 
 
+def all_members(silver: DataFrame, specs: Sequence[DimensionSpec] = DIMENSIONS) -> DataFrame:
+    """Members of every dimension from one pass over silver: one expand, one aggregate.
+
+    A grouping set per dimension. ``member_set`` says which one a row is of; ``dimension_of``
+    takes the rows of one dimension. Members are hashed here, once.
+    """
+    parts = {name: part for s in specs for name, part in _parts(s).items()}
+    months = dict.fromkeys(s.month for s in specs)
+    sets = {_set_number(s, list(parts)): list(_parts(s)) for s in specs}
+    members = (
+        silver.select(*[part.alias(name) for name, part in parts.items()],
+                      *[F.col(m).alias(f"month_{m}") for m in months])
+        .groupingSets(list(sets.values()), *parts)
+        .agg(F.grouping_id().alias(MEMBER_SET), *[F.max(f"month_{m}").alias(f"month_{m}") for m in months])
+    )
+    keys = [F.when(F.col(MEMBER_SET) == _set_number(s, list(parts)), _member_key(s)).alias(f"key_{s.table}")
+            for s in specs]
+    return members.select("*", *keys)
+
+
+def dimension_of(members: DataFrame, spec: DimensionSpec, specs: Sequence[DimensionSpec] = DIMENSIONS,
+                 run_ts=None, stamp: bool = True) -> DataFrame:
+    """The rows that ``build_dimension`` gives, from the members of all ``specs``."""
+    parts = list(dict.fromkeys(name for s in specs for name in _parts(s)))
+    own = members.where((F.col(MEMBER_SET) == _set_number(spec, parts)) & F.col(f"raw_{spec.key.columns[0]}").isNotNull())
+    return _shown(own, spec, F.col(f"key_{spec.table}"), run_ts, stamp)
+
+
+def _parts(spec: DimensionSpec) -> dict[str, Column]:
+    """What a dimension is grouped by: its key's columns raw, other attributes cleaned."""
+    raw = {f"raw_{c}": F.col(c) for c in spec.key.columns}
+    others = [a for a in spec.attributes if a not in spec.key.columns]
+    return {**raw, **{f"shown_{a}": clean_text(a) for a in others}}
+
+
+def _set_number(spec: DimensionSpec, parts: Sequence[str]) -> int:
+    """The grouping id of a dimension's set: a bit per part, set where the part is left out."""
+    own = _parts(spec)
+    return sum(1 << (len(parts) - 1 - at) for at, name in enumerate(parts) if name not in own)
+
+
+def _member_key(spec: DimensionSpec) -> Column:
+    return surrogate_key(*[f"raw_{c}" for c in spec.key.columns])
+
+
+def _shown(members: DataFrame, spec: DimensionSpec, key: Column, run_ts, stamp: bool) -> DataFrame:
+    columns = [key.alias(spec.key.name)]
+    columns += [
+        (clean_text(f"raw_{a}") if a in spec.key.columns else F.col(f"shown_{a}")).alias(a)
+        for a in spec.attributes
+    ]
+    columns.append(F.col(f"month_{spec.month}").alias(spec.month))
+    if stamp:
+        columns.append(run_stamp(run_ts).alias(spec.stamp))
+    return members.select(*columns).withColumnsRenamed(spec.renames)
+
+
 def member_keys(silver: DataFrame, specs: Iterable[DimensionSpec] = DIMENSIONS) -> DataFrame:
     """(key_name, key) of every member of every dimension, in one pass over silver."""
     return _keys(silver, [(s.key.name, fact_key(s.key)) for s in specs])

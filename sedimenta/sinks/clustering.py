@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 SAMPLE_ROWS = 8192
 # A long holds the bits of all columns.
 ORDER_BITS = 62
-MOST_BITS = 8
+MOST_BITS = 6
 
 
 def quantile_cuts(df: DataFrame, columns: Sequence[str], rows: int, bits: int) -> dict[str, list[tuple]]:
@@ -62,17 +62,26 @@ def interleaved(ranks: Sequence[Column], bits: int) -> Column:
     return total
 
 
+def rank_bits(columns: int, rows: int) -> int:
+    """Bits per column: together a few more than tell that many rows apart, which is as far as order matters."""
+    enough = -(-max(1, rows).bit_length() // columns) + 1
+    return max(1, min(MOST_BITS, ORDER_BITS // columns, enough))
+
+
 def cluster(df: DataFrame, columns: Sequence[str], rows: int) -> DataFrame:
     """``df`` in the order of the interleaved ranks of ``columns``, in one shuffle.
 
     Rows of one place are told apart by the columns themselves, so a heavy key is spread over
-    tasks by the others. ``rows`` is about how many there are.
+    tasks by the others. ``rows`` is about how many there are. Ranks are columns of their own
+    below the interleaving, so that each tree of comparisons is planned and evaluated once.
     """
-    bits = max(1, min(MOST_BITS, ORDER_BITS // len(columns)))
+    bits = rank_bits(len(columns), rows)
     cuts = quantile_cuts(df, columns, rows, bits)
     place = "_place"
-    while place in df.columns:
+    while any(c.startswith(place) for c in df.columns):
         place = f"_{place}"
-    order = interleaved([range_rank(c, cuts[c]) for c in columns], bits)
+    ranks = {f"{place}{at}": range_rank(c, cuts[c]) for at, c in enumerate(columns)}
+    order = interleaved([F.col(name) for name in ranks], bits)
     keys = [place, *columns]
-    return df.withColumn(place, order).repartitionByRange(*keys).sortWithinPartitions(*keys).drop(place)
+    return (df.withColumns(ranks).withColumn(place, order).drop(*ranks)
+            .repartitionByRange(*keys).sortWithinPartitions(*keys).drop(place))

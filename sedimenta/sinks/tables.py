@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
@@ -18,7 +18,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.operators.star import build_dimension, with_row_ids
+from sedimenta.operators.star import (
+    MEMBER_SET,
+    all_members,
+    build_dimension,
+    dimension_of,
+    with_row_ids,
+)
 from sedimenta.session import scratch_path
 from sedimenta.sinks.clustering import cluster
 from sedimenta.specs import DimensionSpec, FactSpec
@@ -281,13 +287,21 @@ def publish_fact(fact: DataFrame, spec: FactSpec, table: str, using: str | None
 def publish_dimension(silver: DataFrame, spec: DimensionSpec, database: str,
                       run_ts=None, using: str | None = "parquet") -> PublishResult:
     """Build and publish one dimension; a failure is returned, not raised."""
+    return _publish_members(lambda: _written(build_dimension(silver, spec, run_ts), spec.table), spec, database, using)
+
+
+def _written(rows: DataFrame, name: str, *folders: str) -> DataFrame:
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.partitionBy(*folders).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _publish_members(build: Callable[[], DataFrame], spec: DimensionSpec, database: str,
+                     using: str | None) -> PublishResult:
     table = f"{database}.{spec.table}"
     try:
-        # Written once: the layout reads them for quantiles, for ranges and for the table.
-        members = build_dimension(silver, spec, run_ts)
-        path = scratch_path(silver.sparkSession, spec.table)
-        members.write.parquet(path)
-        members = silver.sparkSession.read.schema(members.schema).parquet(path)
+        # Written rows: the layout reads them for quantiles, for ranges and for the table.
+        members = build()
         count = members.count()
         members = cluster(members, spec.lookup_columns(), count)
         # Grouping already makes the key unique unless other attributes are shown.
@@ -304,11 +318,23 @@ def publish_dimensions(silver: DataFrame, specs: Iterable[DimensionSpec], databa
                        concurrency: int = 5) -> list[PublishResult]:
     """Publish each dimension; one that fails does not stop the others.
 
-    The dimensions are independent jobs, so they are submitted side by side and
-    fill the executors that the tail of another one leaves idle.
+    Silver is read once: the members of all dimensions are grouped in one pass and written,
+    a folder per dimension. If that pass fails, each dimension is built by itself, so that only
+    the one at fault is missing. They are published side by side and fill the executors that
+    the tail of another one leaves idle.
     """
+    specs = list(specs)
+    if not specs:
+        return []
+    try:
+        members = _written(all_members(silver, specs), "members", MEMBER_SET)
+    except Exception:  # noqa: BLE001 - whose fault it is shows when they are built one by one
+        members = None
+
     def one(spec: DimensionSpec) -> PublishResult:
-        return publish_dimension(silver, spec, database, run_ts, using)
+        if members is None:
+            return publish_dimension(silver, spec, database, run_ts, using)
+        return _publish_members(lambda: dimension_of(members, spec, specs, run_ts), spec, database, using)
 
     inherited = inheritable_thread_target(silver.sparkSession)(one)
     with ThreadPoolExecutor(max_workers=concurrency) as pool:

@@ -60,6 +60,22 @@ def test_one_shuffle_and_a_heavy_key_is_spread(spark):
     assert len(sizes) > 4 and max(sizes) < 2000
 
 
+def test_each_tree_is_planned_once(spark):
+    values = [(f"a{i % 97:02d}", f"b{i}") for i in range(5000)]
+    df = spark.createDataFrame(values, "a string, b string")
+    laid = C.cluster(df, ["a", "b"], 5000)
+    plan = laid._jdf.queryExecution().optimizedPlan().toString()
+    # Two trees of at most 63 comparisons; repeated for every bit they would be twelve.
+    assert 60 < plan.count("CASE WHEN") <= 2 * 64
+    assert laid.columns == ["a", "b"] and sorted(map(tuple, laid.collect())) == sorted(values)
+
+
+def test_bits_follow_rows_and_columns():
+    assert C.rank_bits(2, 0) == C.rank_bits(7, 1) == 2
+    assert C.rank_bits(7, 10**4) == 3 and C.rank_bits(2, 10**12) == C.MOST_BITS
+    assert all(n * C.rank_bits(n, 10**15) <= C.ORDER_BITS for n in range(1, 63))
+
+
 def purchases(n):
     rng = random.Random(4)
     out = []

@@ -228,6 +228,35 @@ def test_dimensions_are_named_by_table(spark):
     assert all(df.first().updated_at == RUN_TS for df in found.values())
 
 
+# One attribute shown beside its key, and one set of columns under two keys.
+MORE = (
+    DimensionSpec("d_shown", KeySpec("id", ("ean",)), ("ean", "product"), "issue_month"),
+    DimensionSpec("d_turned", KeySpec("id", ("subclass", "product_group")), ("product_group", "subclass"), "issue_month"),
+)
+
+
+def test_all_members_give_every_dimension(spark):
+    silver = rollup(spark, random_rows(9) + [row(brand=None, product="a;b"), row(product="ab"), row(subclass=None)])
+    specs = [*P.DIMENSIONS, *MORE]
+    members = star.all_members(silver, specs)
+    for spec in specs:
+        found = star.dimension_of(members, spec, specs, RUN_TS)
+        alone = star.build_dimension(silver, spec, RUN_TS)
+        assert found.columns == alone.columns and found.count() > 0
+        assert sorted(found.collect(), key=repr) == sorted(alone.collect(), key=repr)
+
+
+def test_all_members_scan_silver_once(spark, tmp_path):
+    rollup(spark, [row()]).write.parquet(str(tmp_path / "silver"))
+    silver = spark.read.parquet(str(tmp_path / "silver"))
+    plan = plan_of(star.all_members(silver))
+    tree = plan[:plan.index("\n\n\n")]
+    assert tree.count("Scan parquet") == 1 and tree.count("Expand") == 1 and tree.count("Exchange") == 1
+    assert "store_tax_id" not in plan and "amount" not in plan
+    # Every hash stays above the aggregate: one per member, not one per row.
+    assert "md5" not in plan[plan.index("Expand", len(tree)):plan.index("Exchange", len(tree))]
+
+
 def test_row_ids_are_unique(spark):
     df = star.with_row_ids(spark.range(1000).repartition(7).withColumnRenamed("id", "x"))
     assert df.select("fact_id").distinct().count() == 1000
