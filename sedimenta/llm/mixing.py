@@ -32,6 +32,7 @@ SHARE = 1.5
 MAX_REPEATS = 2
 BLOCK_WORDS = 1024
 RUN = 1000
+CHUNK = 1 << 16
 SEED = "mix"
 
 
@@ -46,7 +47,7 @@ class Mix:
     schedule: DataFrame
     """slot, sid, rank: which source gives its next block at which slot"""
     pieces: DataFrame
-    """slot, sid, rank, rid, doc_id, pass, offset, words: what the blocks hold"""
+    """slot, sid, rank, rid, doc_id, pass, begin, offset, words: what the blocks hold"""
 
 
 def word_count(text: Column) -> Column:
@@ -108,18 +109,18 @@ def _schedule(sources: DataFrame, blocks: int, run: int) -> DataFrame:
 
     The slots are 0 .. 2^m - 1 with 2^m the least power that holds all blocks; a slot's
     point is its number with the bits reversed, and points beyond the cumulative counts
-    fall on no source.
+    fall on no source. Each source lists the points of its own range, and reversing a
+    point's bits gives its slot, so nothing is searched, however many sources there are.
+    Ranges are cut into chunks first: a source with most blocks is not one task.
     """
-    spark = sources.sparkSession
     bits = max(1, (max(blocks, 1) - 1).bit_length())
-    point = F.conv(F.rpad(F.reverse(F.bin("id")), bits, "0"), 2, 10).cast("long")
-    slots = spark.range(1 << bits).select(F.col("id").alias("slot"), point.alias("point"))
-    slots = slots.filter(F.col("point") < blocks)
-    # Cumulative counts, one number per source, as a literal in the plan. The point's
-    # source is the first whose cumulative count lies beyond it.
-    ends = [r[0] + r[1] for r in sources.orderBy("sid").select("first_block", "blocks").collect()]
-    sid = F.size(F.filter(F.array(*map(F.lit, ends or [0])), lambda e: e <= F.col("point")))
-    slots = slots.select("slot", sid.alias("sid"), F.floor(F.col("slot") / run).alias("run"))
+    end = F.col("first_block") + F.col("blocks")
+    chunks = sources.filter("blocks > 0").select(
+        "sid", end.alias("end"), F.explode(F.sequence("first_block", end - 1, F.lit(CHUNK).cast("long"))).alias("low"))
+    last = F.least(F.col("low") + CHUNK, F.col("end")) - 1
+    points = chunks.repartition("low").select("sid", F.explode(F.sequence("low", last)).alias("point"))
+    slot = F.conv(F.reverse(F.lpad(F.bin("point"), bits, "0")), 2, 10).cast("long")
+    slots = points.select(slot.alias("slot"), "sid", F.floor(slot / run).alias("run"))
     slots = staged(slots, "mix-slots")
     counts = slots.groupBy("sid", "run").count()
     earlier = Window.partitionBy("sid").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
@@ -179,7 +180,7 @@ def mix(
     high = F.least(F.col("end"), (F.col("rank") + 1) * block_words)
     pieces = (
         laid.withColumn("rank", F.explode(ranks))
-        .select("sid", "rank", "rid", "doc_id", "pass",
+        .select("sid", "rank", "rid", "doc_id", "pass", "begin",
                 (low - F.col("begin")).alias("offset"), (high - low).alias("words"))
         .join(schedule, ["sid", "rank"])
     )
@@ -192,33 +193,39 @@ def mix(
 
 
 def taken_words(made: Mix) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken."""
-    taken = made.pieces.groupBy("rid").agg(F.sum("words").alias("taken"))
+    """One row per document: doc_id, size, source_size, target, taken, first_slot.
+
+    ``first_slot`` is where the schedule first takes words of the document; null if it never does.
+    """
+    taken = made.pieces.groupBy("rid").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
     rows = made.rows.select("rid", "doc_id", "sid", "size").unionByName(
         made.wordless.select("rid", "doc_id", "sid", F.lit(0).cast("long").alias("size")))
     return (
         rows.join(taken, "rid", "left")
         .join(made.sources.select("sid", "source_size", "target"), "sid")
         .select("doc_id", "size", "source_size", "target",
-                F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+                F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot")
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix, whole, once for every pass that takes words of them.
+    """The documents of the mix, whole, once for every pass that takes words of them, in slot order.
 
     Cutting only at the end of a source's share would split one document per source and
-    pass; that one is kept whole. All columns are kept, and no others added.
+    pass; that one is kept whole. All columns are kept, and no others added. Partitions are
+    ranges of slots and sorted within, so every stretch of the output has the sources in
+    nearly the shares of the whole; a copy stands where its pass begins to take words.
     """
     name = fresh(docs, "rid")
     held = staged(docs.withColumn(name, F.monotonically_increasing_id()), "mix-docs")
     made = mix(held, rid_col=name, **options)
-    times = fresh(held, "times")
+    slot, offset = fresh(held, "slot"), fresh(held, "offset")
+    # Slots and offsets of a pass rise together, so the first piece has the least of both.
     taken = staged(
-        made.pieces.groupBy(F.col("rid").alias(name)).agg(F.count_distinct("pass").cast("int").alias(times)), "mix-taken")
-    copies = F.sequence(F.lit(1), F.col(times))
-    one = fresh(held, "copy")
+        made.pieces.groupBy(F.col("rid").alias(name), "pass")
+        .agg(F.min("slot").alias(slot), F.min("begin").alias(offset)).drop("pass"), "mix-taken")
+    order = [slot, offset, name]
     return (
         small_join(held, taken, name, "inner", 96)
-        .withColumn(one, F.explode(copies)).drop(name, times, one)
+        .repartitionByRange(*order).sortWithinPartitions(*order).drop(*order)
     )

@@ -25,15 +25,29 @@ targets AS (
   SELECT *, least(cap, coalesce((SELECT level FROM levels WHERE cap >= level * weight
                                  ORDER BY cap / weight, sid LIMIT 1) * weight, cap)) AS target
   FROM levels),
+counts AS (
+  SELECT *, floor(target)::BIGINT AS words, ((floor(target)::BIGINT + 1023) // 1024)::BIGINT AS blocks
+  FROM targets),
+ranges AS (
+  SELECT *, (sum(blocks) OVER (ORDER BY sid ROWS UNBOUNDED PRECEDING) - blocks)::BIGINT AS first_block,
+         greatest(1, length(bin(greatest(sum(blocks) OVER (), 1)::BIGINT - 1))) AS bits
+  FROM counts),
+slots AS (
+  SELECT sid, ('0b' || reverse(lpad(bin(point), bits::INT, '0')))::BIGINT AS slot
+  FROM (SELECT sid, bits, unnest(range(first_block, first_block + blocks)) AS point FROM ranges)),
+schedule AS (
+  SELECT sid, slot, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank FROM slots),
 streams AS (
-  SELECT t.doc_id, t.size, s.source_size, s.target, floor(s.target)::BIGINT AS words,
+  SELECT t.doc_id, t.size, s.sid, s.source_size, s.target, s.words,
          (sum(t.size) OVER (PARTITION BY s.sid ORDER BY t.shuffle, t.doc_id NULLS FIRST, t.size
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - t.size)::BIGINT AS start
-  FROM thin t JOIN targets s ON t.source IS NOT DISTINCT FROM s.source)
+  FROM thin t JOIN ranges s ON t.source IS NOT DISTINCT FROM s.source)
 SELECT doc_id, size, source_size, target,
        (greatest(0, least(start + size, words) - start)
-        + greatest(0, least(source_size + start + size, words) - source_size - start))::BIGINT AS taken
-FROM streams
+        + greatest(0, least(source_size + start + size, words) - source_size - start))::BIGINT AS taken,
+       slot AS first_slot
+FROM streams t LEFT JOIN schedule s
+  ON t.sid = s.sid AND t.size > 0 AND t.start < t.words AND t.start // 1024 = s.rank
 """
 
 OP6 = """

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
+from sedimenta.llm import mixing
 from sedimenta.llm.mixing import mix, mixed_documents, taken_words
 from sedimenta.llm.naming import exact_groups, identities
 from sedimenta.llm.shards import assign, difference, shard
@@ -66,6 +67,26 @@ def test_schedule_is_low_discrepancy(spark):
     assert dict(seen) == {s: n for s, n in counts.items() if n}
 
 
+def test_schedule_by_brute_force(spark, monkeypatch):
+    """The slots of a source are the bit-reversed points of its range; chunks change nothing."""
+    monkeypatch.setattr(mixing, "CHUNK", 7)
+    made = mix(corpus(spark), block_words=64)
+    sources = sorted((r["sid"], r["first_block"], r["blocks"]) for r in made.sources.collect())
+    total = sum(n for _, _, n in sources)
+    bits = (total - 1).bit_length()
+    want = []
+    for sid, first, n in sources:
+        slots = sorted(int(f"{p:0{bits}b}"[::-1], 2) for p in range(first, first + n))
+        want += [(slot, sid, rank) for rank, slot in enumerate(slots)]
+    assert sorted((r["slot"], r["sid"], r["rank"]) for r in made.schedule.collect()) == sorted(want)
+    first = {}
+    for r in made.pieces.collect():
+        first[r["doc_id"]] = min(r["slot"], first.get(r["doc_id"], r["slot"]))
+    rows = taken_words(made).collect()
+    assert {r["doc_id"]: r["first_slot"] for r in rows if r["taken"]} == first
+    assert all(r["first_slot"] is None for r in rows if not r["taken"])
+
+
 def test_blocks_are_filled_once(spark):
     made = mix(corpus(spark), block_words=64)
     words = {r["sid"]: r["words"] for r in made.sources.collect()}
@@ -84,6 +105,25 @@ def test_mixed_documents_repeat_whole_documents(spark):
     assert set(times) <= {tuple(r) for r in docs.collect()} and max(times.values()) == 2
 
 
+def test_mixed_documents_are_interleaved(spark, tmp_path):
+    """Every stretch of the written mix has a source's words in nearly its share of the whole."""
+    docs = corpus(spark)
+    mixed_documents(docs, block_words=64).write.parquet(str(tmp_path / "mix"))
+    rows = []
+    for part in sorted((tmp_path / "mix").glob("part-*.parquet")):
+        rows += [(r["source"], len((r["text"] or "").split())) for r in spark.read.parquet(str(part)).collect()]
+    total = sum(n for _, n in rows)
+    share = Counter()
+    for source, n in rows:
+        share[source] += n / total
+    tenths, at = [Counter() for _ in range(10)], 0
+    for source, n in rows:
+        tenths[min(9, at * 10 // total)][source] += n * 10 / total
+        at += n
+    for source, whole in share.items():
+        assert all(abs(t[source] - whole) < 0.12 for t in tenths), (source, whole, [t[source] for t in tenths])
+
+
 def test_names_are_identities(spark):
     rng = random.Random(5)
     texts = ["".join(rng.choice("ab") for _ in range(rng.randrange(0, 14))) for _ in range(400)] + ["", None] * 40
