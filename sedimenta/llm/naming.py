@@ -3,7 +3,9 @@
 Each text is cut into blocks of a fixed number of bytes. The distinct blocks are
 sorted and numbered, adjacent numbers are paired, the distinct pairs are sorted and
 numbered again, and so on until one number is left per text. Two texts get the same
-(level, number) exactly if they are equal byte for byte: no hash decides anything.
+(level, number) exactly if they are equal byte for byte: no hash decides anything. Blocks
+are sorted and numbered within shuffle partitions, so numbers are unique but neither in
+the order of all blocks nor the same under another number of partitions.
 
 Only built-in functions are used. Blocks that make up more than a thousandth of all
 blocks (fewer than a thousand, by that very share) are numbered below zero and joined
