@@ -7,7 +7,7 @@ Every stage but the last takes and returns the columns of documents, whatever th
 2. near duplicates: of each class of near copies the document with the least id stays;
 3. decontamination: documents that a benchmark item is found in go;
 4. mixing: sources are brought to their target weights, so documents of a source above
-   its weight are left out and those of one below it come twice;
+   its weight are left out and those of one below it come twice, in slot order;
 5. sharding: groups of equal texts go to shards of nearly equal bytes.
 
 Stages 1 to 3 read nothing of a row but its text and id; null and empty texts, ties and
