@@ -12,7 +12,8 @@ Every stage but the last takes and returns the columns of documents, whatever th
 
 Stages 1 to 3 read nothing of a row but its text and id; null and empty texts, ties and
 repeated rows have the results that the operators define, and an empty table passes
-through every stage.
+through every stage. A stage's intermediate tables are deleted once its result is written;
+the results of the stages stay below the scratch folder.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sedimenta.llm import quality
-from sedimenta.llm.common import staged, table
+from sedimenta.llm.common import passing_tables, staged, table
 from sedimenta.llm.mixing import mixed_documents
 from sedimenta.llm.near_join import keep_one
 from sedimenta.llm.shards import shard
@@ -62,5 +63,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        with passing_tables(spark) as keep:
+            docs = keep(staged(stage(spark, docs, sf_dir), name))
     return docs

@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.session import scratch_path
+from sedimenta.sinks.files import Store
 
 # A join side is broadcast only if its counted rows stay below this many bytes.
 BROADCAST_BYTES = 32 << 20
 
+# The tables staged in the innermost open block of ``passing_tables``, by their folder.
+_PASSING: ContextVar[dict[str, DataFrame | None] | None] = ContextVar("passing", default=None)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,8 +32,44 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    passing = _PASSING.get()
+    if passing is not None:
+        passing[path] = None
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    if passing is not None:
+        passing[path] = made
+    return made
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete the tables that are staged in this block when it ends, but for those it keeps.
+
+    Yields a function that marks a staged table as kept. Nothing read after the block may
+    depend on the other tables, so what leaves the block has to be staged and kept itself.
+    What a block within a block keeps passes to the outer one.
+    """
+    made: dict[str, DataFrame | None] = {}
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    outer = _PASSING.get()
+    token = _PASSING.set(made)
+    try:
+        yield keep
+    finally:
+        _PASSING.reset(token)
+        for path, df in made.items():
+            if not any(df is one for one in kept):
+                # What cannot be deleted stays, and is for the owner of the scratch folder to expire.
+                with suppress(Exception):
+                    Store(spark, path).remove("")
+            elif outer is not None:
+                outer[path] = df
 
 
 def fresh(df: DataFrame, name: str) -> str:

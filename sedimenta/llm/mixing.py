@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import fresh, small_join, staged
+from sedimenta.llm.common import fresh, passing_tables, small_join, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -218,12 +218,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     name = fresh(docs, "rid")
     held = staged(docs.withColumn(name, F.monotonically_increasing_id()), "mix-docs")
-    made = mix(held, rid_col=name, **options)
     slot, offset = fresh(held, "slot"), fresh(held, "offset")
-    # Slots and offsets of a pass rise together, so the first piece has the least of both.
-    taken = staged(
-        made.pieces.groupBy(F.col("rid").alias(name), "pass")
-        .agg(F.min("slot").alias(slot), F.min("begin").alias(offset)).drop("pass"), "mix-taken")
+    with passing_tables(docs.sparkSession) as keep:
+        made = mix(held, rid_col=name, **options)
+        # Slots and offsets of a pass rise together, so the first piece has the least of both.
+        taken = keep(staged(
+            made.pieces.groupBy(F.col("rid").alias(name), "pass")
+            .agg(F.min("slot").alias(slot), F.min("begin").alias(offset)).drop("pass"), "mix-taken"))
     order = [slot, offset, name]
     return (
         small_join(held, taken, name, "inner", 96)

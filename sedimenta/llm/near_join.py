@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from sedimenta.llm.common import fresh, map_texts, small_batches, small_join, staged
+from sedimenta.llm.common import fresh, map_texts, passing_tables, small_batches, small_join, staged
 
 WORDS = re.compile(r"\w+")
 GRAM = 5
@@ -362,6 +362,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """The document with the least id of each class; all columns."""
     name = fresh(docs, "rid")
     held = staged(docs.withColumn(name, F.monotonically_increasing_id()), "near-docs")
-    rows = near_classes(held, id_col, text_col, rid_col=name, count_links=False, **options)
-    kept = staged(_classes(rows).select(F.col("first.rid").alias(name)), "near-kept")
+    with passing_tables(docs.sparkSession) as keep:
+        rows = near_classes(held, id_col, text_col, rid_col=name, count_links=False, **options)
+        kept = keep(staged(_classes(rows).select(F.col("first.rid").alias(name)), "near-kept"))
     return small_join(held, kept, name, "left_semi", 96).drop(name)
