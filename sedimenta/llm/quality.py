@@ -35,6 +35,7 @@ EPOCHS = 15
 BATCH = 256
 CUT = 0.5
 CACHE = 400_000
+SLICE = 500
 KEPT_TOKEN = 64
 
 REPEATED = re.compile(r"(.)\1+")
@@ -169,6 +170,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _judge(model: Ordinal, texts, features: Features) -> tuple[np.ndarray, np.ndarray]:
+    """Expected grades and tails; the features of a slice of the batch are held at a time."""
+    slices = [_judge_slice(model, texts[i: i + SLICE], features) for i in range(0, max(1, len(texts)), SLICE)]
+    return np.concatenate([expected for expected, _ in slices]), np.concatenate([tails for _, tails in slices])
+
+
+def _judge_slice(model: Ordinal, texts, features: Features) -> tuple[np.ndarray, np.ndarray]:
     read = [features.read(t) for t in texts]
     sizes = [len(f) for f, _ in read]
     row = np.repeat(np.arange(len(read)), sizes)
