@@ -7,7 +7,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.session import scratch_path
+from sedimenta.session import freed_shuffles, scratch_path
 
 # A monotonic id is a partition number followed by the row's place in that partition.
 PLACE_BITS = 33
@@ -25,10 +25,11 @@ def dense_ids(df: DataFrame, column: str, first: int = 1) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "numbered")
     local = df.withColumn(column, F.monotonically_increasing_id())
-    local.write.parquet(path)
-    stored = spark.read.schema(local.schema).parquet(path)
     part = F.shiftright(column, PLACE_BITS)
-    counts = sorted(tuple(r) for r in stored.groupBy(part).count().collect())
+    with freed_shuffles(spark):
+        local.write.parquet(path)
+        stored = spark.read.schema(local.schema).parquet(path)
+        counts = sorted(tuple(r) for r in stored.groupBy(part).count().collect())
     before = accumulate((n for _, n in counts[:-1]), initial=first)
     names = [c.lower() for c in df.columns]
     key, offset = "part", "offset"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.purchases import DAILY, LATE, LAYOUT
-from sedimenta.session import scratch_path
+from sedimenta.session import freed_shuffles, scratch_path
 from sedimenta.sources.lake import lake_schema, with_partition_columns
 from sedimenta.sources.spread import spread
 
@@ -134,7 +134,8 @@ def stored_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed as a written table, for runs that read it many times."""
     feed = feed_all(spark, sf_dir)
     path = scratch_path(spark, "feed")
-    feed.write.parquet(path)
+    with freed_shuffles(spark):
+        feed.write.parquet(path)
     return spark.read.schema(feed.schema).parquet(path)
 
 

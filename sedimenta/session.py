@@ -1,9 +1,13 @@
-"""Session helpers: recommended settings, object-store options, scratch folder."""
+"""Session helpers: recommended settings, object-store options, scratch folder, disk space given back."""
 
 from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
+from threading import Lock
 from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
@@ -18,6 +22,17 @@ RECOMMENDED = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+# Whether Spark deletes the shuffle files of an execution when it ends. Without it they stay
+# until the driver happens to collect the garbage that refers to them.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+# The scratch folders named in the innermost open block of ``passing_scratch``.
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing_scratch", default=None)
+
+# Open blocks of ``freed_shuffles`` of each session, and the setting before the first of them.
+_FREEING: dict[SparkSession, tuple[int, str | None]] = {}
+_FREEING_LOCK = Lock()
+
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -62,7 +77,59 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if urlparse(base).scheme in ("", "file") and not is_local(spark):
             raise RuntimeError(f"{base} is a folder of one machine: set spark.checkpoint.dir to a shared one")
         base = f"{base.rstrip('/')}/_scratch"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    passing = _PASSING.get()
+    if passing is not None:
+        passing.append(path)
+    return path
+
+
+@contextmanager
+def passing_scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete the scratch folders that are named in this block when it ends, however it ends.
+
+    Yields the list of them, to discard some before the end. Nothing that is read after the
+    block may depend on a folder named in it. Threads begun in the block are not part of it.
+    """
+    made: list[str] = []
+    token = _PASSING.set(made)
+    try:
+        yield made
+    finally:
+        _PASSING.reset(token)
+        discard(spark, made)
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete scratch folders; what cannot be deleted stays, for the owner of the scratch folder to expire."""
+    for path in paths:
+        with suppress(Exception):
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Have the shuffle files of what is run in this block deleted as soon as it has run.
+
+    For writes, and for frames that are made in the block and run once. A frame that is run
+    again makes its files again.
+    """
+    with _FREEING_LOCK:
+        depth, before = _FREEING.get(spark) or (0, spark.conf.get(FREE_SHUFFLES, None))
+        _FREEING[spark] = (depth + 1, before)
+        spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _FREEING_LOCK:
+            depth, before = _FREEING.pop(spark)
+            if depth > 1:
+                _FREEING[spark] = (depth - 1, before)
+            elif before is None:
+                spark.conf.unset(FREE_SHUFFLES)
+            else:
+                spark.conf.set(FREE_SHUFFLES, before)
 
 
 def is_local(spark: SparkSession) -> bool:

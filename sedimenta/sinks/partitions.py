@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from sedimenta.session import freed_shuffles
+
 
 def cluster_for_write(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Bring rows of one folder together without tying a folder to one task.
@@ -33,10 +35,11 @@ def write_partitions(
     """
     if cluster:
         df = cluster_for_write(df, by)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if prune_stale else "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    with freed_shuffles(df.sparkSession):
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static" if prune_stale else "dynamic")
+            .option("compression", "snappy")
+            .partitionBy(*by)
+            .parquet(path)
+        )

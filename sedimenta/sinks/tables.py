@@ -25,7 +25,7 @@ from sedimenta.operators.star import (
     dimension_of,
     with_row_ids,
 )
-from sedimenta.session import scratch_path
+from sedimenta.session import discard, freed_shuffles, passing_scratch, scratch_path
 from sedimenta.sinks.clustering import cluster
 from sedimenta.specs import DimensionSpec, FactSpec
 
@@ -275,39 +275,54 @@ def publish(df: DataFrame, table: str, columns: Sequence[tuple[str, str]],
 
 def publish_fact(fact: DataFrame, spec: FactSpec, table: str, using: str | None = "parquet",
                  expected_rows: int | None = None) -> LoadMetrics:
-    rows = fact.count() if expected_rows is None else expected_rows
-    # The month leads: most lookups give one.
-    columns = sorted((c for c in spec.lookups if c in fact.columns), key=lambda c: c != spec.month)
-    laid_out = cluster(fact, columns, rows) if columns else fact
-    return publish(with_row_ids(laid_out, spec.row_id), table, spec.ddl(),
-                   sums=spec.totals, using=using, expected_rows=expected_rows,
-                   lookups=spec.lookups)
+    """Lay out, number and publish a fact.
+
+    Rows that nobody has counted yet are written first: they are read for their number, for
+    quantiles, for ranges and for the table, and what they are made of is only worked out once.
+    Each copy on the way to the table is deleted as soon as the next one is written.
+    """
+    spark = fact.sparkSession
+    with passing_scratch(spark) as made, freed_shuffles(spark):
+        if expected_rows is None:
+            fact = _written(fact, spec.table)
+        rows = fact.count() if expected_rows is None else expected_rows
+        # The month leads: most lookups give one.
+        columns = sorted((c for c in spec.lookups if c in fact.columns), key=lambda c: c != spec.month)
+        laid_out = cluster(fact, columns, rows) if columns else fact
+        used = list(made)
+        numbered = with_row_ids(laid_out, spec.row_id)
+        discard(spark, used)
+        return publish(numbered, table, spec.ddl(), sums=spec.totals, using=using,
+                       expected_rows=expected_rows, lookups=spec.lookups)
 
 
 def publish_dimension(silver: DataFrame, spec: DimensionSpec, database: str,
                       run_ts=None, using: str | None = "parquet") -> PublishResult:
     """Build and publish one dimension; a failure is returned, not raised."""
-    return _publish_members(lambda: _written(build_dimension(silver, spec, run_ts), spec.table), spec, database, using)
+    return _publish_members(silver.sparkSession, lambda: _written(build_dimension(silver, spec, run_ts), spec.table),
+                            spec, database, using)
 
 
 def _written(rows: DataFrame, name: str, *folders: str) -> DataFrame:
     path = scratch_path(rows.sparkSession, name)
-    rows.write.partitionBy(*folders).parquet(path)
+    with freed_shuffles(rows.sparkSession):
+        rows.write.partitionBy(*folders).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _publish_members(build: Callable[[], DataFrame], spec: DimensionSpec, database: str,
+def _publish_members(spark: SparkSession, build: Callable[[], DataFrame], spec: DimensionSpec, database: str,
                      using: str | None) -> PublishResult:
     table = f"{database}.{spec.table}"
     try:
-        # Written rows: the layout reads them for quantiles, for ranges and for the table.
-        members = build()
-        count = members.count()
-        members = cluster(members, spec.lookup_columns(), count)
-        # Grouping already makes the key unique unless other attributes are shown.
-        only_key = set(spec.attributes) <= set(spec.key.columns)
-        metrics = publish(members, table, spec.ddl(), using=using, expected_rows=count,
-                          unique_key=None if only_key else spec.key.name, lookups=spec.lookup_columns())
+        with passing_scratch(spark):
+            # Written rows: the layout reads them for quantiles, for ranges and for the table.
+            members = build()
+            count = members.count()
+            members = cluster(members, spec.lookup_columns(), count)
+            # Grouping already makes the key unique unless other attributes are shown.
+            only_key = set(spec.attributes) <= set(spec.key.columns)
+            metrics = publish(members, table, spec.ddl(), using=using, expected_rows=count,
+                              unique_key=None if only_key else spec.key.name, lookups=spec.lookup_columns())
         return PublishResult(table, metrics)
     except Exception as error:  # noqa: BLE001 - reported per dimension
         return PublishResult(table, error=str(error))
@@ -326,19 +341,21 @@ def publish_dimensions(silver: DataFrame, specs: Iterable[DimensionSpec], databa
     specs = list(specs)
     if not specs:
         return []
-    try:
-        members = _written(all_members(silver, specs), "members", MEMBER_SET)
-    except Exception:  # noqa: BLE001 - whose fault it is shows when they are built one by one
-        members = None
-
-    def one(spec: DimensionSpec) -> PublishResult:
-        if members is None:
-            return publish_dimension(silver, spec, database, run_ts, using)
-        return _publish_members(lambda: dimension_of(members, spec, specs, run_ts), spec, database, using)
-
-    inherited = inheritable_thread_target(silver.sparkSession)(one)
-    with ThreadPoolExecutor(max_workers=concurrency) as pool:
-        return list(pool.map(inherited, specs))
+    spark = silver.sparkSession
+    with passing_scratch(spark), freed_shuffles(spark):
+        try:
+            members = _written(all_members(silver, specs), "members", MEMBER_SET)
+        except Exception:  # noqa: BLE001 - whose fault it is shows when they are built one by one
+            members = None
+
+        def one(spec: DimensionSpec) -> PublishResult:
+            if members is None:
+                return publish_dimension(silver, spec, database, run_ts, using)
+            return _publish_members(spark, lambda: dimension_of(members, spec, specs, run_ts), spec, database, using)
+
+        inherited = inheritable_thread_target(spark)(one)
+        with ThreadPoolExecutor(max_workers=concurrency) as pool:
+            return list(pool.map(inherited, specs))
 
 
 def create_indexes(spark: SparkSession, table: str, columns: Iterable[str]) -> None:

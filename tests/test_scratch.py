@@ -1,0 +1,108 @@
+"""What is left on disk by runs: scratch tables and shuffle files."""
+
+import datetime as dt
+import os
+import time
+from urllib.parse import urlparse
+
+import pytest
+from pyspark.sql import functions as F
+
+from sedimenta import purchases as P
+from sedimenta.operators.numbering import dense_ids
+from sedimenta.operators.star import build_fact
+from sedimenta.plans.queries import scratch_database
+from sedimenta.session import FREE_SHUFFLES, freed_shuffles, passing_scratch, scratch_path
+from sedimenta.sinks import tables as S
+from sedimenta.sinks.partitions import write_partitions
+from tests.test_publish import silver
+from tests.fixtures import row
+
+RUN_TS = dt.datetime(2001, 8, 15, 3, 0)
+
+
+@pytest.fixture
+def left(spark):
+    """The names of the tables that have come to the scratch folder since the test began."""
+    folder = urlparse(spark.conf.get("spark.checkpoint.dir")).path
+
+    def names():
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    before = names()
+    return lambda: sorted(name.rsplit("-", 1)[0] for name in names() - before)
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Shuffle files that have come since the test began and stay."""
+    def names():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        found = (blocks.apply(i).getName() for i in range(blocks.size()))
+        return {name for name in found if name.startswith("shuffle_")}
+
+    before = names()
+
+    def stay():
+        for _ in range(50):
+            if not names() - before:
+                break
+            time.sleep(0.1)
+        return names() - before
+
+    return stay
+
+
+def test_scratch_of_a_block_is_deleted(spark, left):
+    with pytest.raises(ZeroDivisionError):
+        with passing_scratch(spark):
+            spark.range(3).write.parquet(scratch_path(spark, "outer"))
+            with passing_scratch(spark) as made:
+                spark.range(3).write.parquet(scratch_path(spark, "inner"))
+                assert len(made) == 1 and left() == ["inner", "outer"]
+            assert left() == ["outer"]
+            raise ZeroDivisionError
+    assert left() == []
+    spark.range(3).write.parquet(scratch_path(spark, "kept"))
+    assert left() == ["kept"]
+
+
+@pytest.mark.parametrize("before", [None, "false", "true"])
+def test_setting_is_as_it_was(spark, before):
+    if before is not None:
+        spark.conf.set(FREE_SHUFFLES, before)
+    try:
+        with freed_shuffles(spark):
+            with freed_shuffles(spark):
+                assert spark.conf.get(FREE_SHUFFLES) == "true"
+            assert spark.conf.get(FREE_SHUFFLES) == "true"
+        assert spark.conf.get(FREE_SHUFFLES, None) == before
+    finally:
+        spark.conf.unset(FREE_SHUFFLES)
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path, shuffled):
+    rows = spark.range(1000).selectExpr("id", "id % 3 AS part")
+    write_partitions(rows, str(tmp_path / "parts"), ["part"])
+    assert shuffled() == set()
+    numbered = dense_ids(rows.repartition(5), "n")
+    assert shuffled() == set()
+    assert sorted(r["n"] for r in numbered.collect()) == list(range(1, 1001))
+
+
+def test_fact_is_worked_out_once_and_leaves_its_table(spark, left, shuffled):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        made.add(1)
+        return text
+
+    table = f"{scratch_database(spark, 't')}.{P.FACT.table}"
+    rows = [row(src_order=i, ean=f"{i:013d}", store_tax_id=f"{i % 7:014d}") for i in range(200)]
+    for _ in range(2):
+        fact = build_fact(silver(spark, rows), run_ts=RUN_TS)
+        fact = fact.withColumn("product_id", F.udf(seen, "string")("product_id"))
+        S.publish_fact(fact, P.FACT, table)
+    assert made.value == 2 * 200
+    assert left() == ["t"] and shuffled() == set()
+    assert sorted(r[0] for r in spark.table(table).select("fact_id").collect()) == list(range(1, 201))
