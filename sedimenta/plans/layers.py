@@ -28,10 +28,10 @@ from sedimenta.operators.reconcile import candidate_dates, reconcile
 from sedimenta.operators.rollup import monthly_rollup
 from sedimenta.operators.star import build_fact
 from sedimenta.purchases import DIMENSIONS, FACT, LAYOUT, RECENT_DAYS, ROLLUP
-from sedimenta.session import scratch_path
+from sedimenta.session import discard, freed_shuffles, passing_scratch, scratch_path
 from sedimenta.sinks.files import Store
 from sedimenta.sinks.lease import Record, leased
-from sedimenta.sinks.partitions import cluster_for_write, write_partitions
+from sedimenta.sinks.partitions import write_partitions
 from sedimenta.sinks.tables import LoadMetrics, PublishResult, publish_dimensions, publish_fact
 from sedimenta.sources.dates import DateSet, date_set, make_date_set
 from sedimenta.sources.lake import read_lake
@@ -144,64 +144,67 @@ def refresh_bronze(spark: SparkSession, feeds: Feeds, settings: Settings) -> tup
     the rows to merge are the same as well it is settled: no file of it is opened. Any
     difference is confirmed by comparing rows. Returns the report, one row per date looked at.
     """
-    layout, date = settings.layout, settings.layout.date
-    as_of, days = settings.as_of, settings.recent_days
-    finish_staged(spark, settings)
-    store = Store(spark, beside(settings.bronze_path, "state"))
-    lake = read_lake(spark, settings.bronze_path, settings.bronze_schema)
-    files = lake_files(lake, layout)
-    known = known_dates(store, files)
-    dated = feeds.late if isinstance(feeds.late, DataFrame) else feeds.late.distinct_dates(spark)
-    candidates = date_set(candidate_dates(dated, as_of, days, date), date)
-    report = reconcile(lake, dated, _whole(spark, feeds.totals), as_of, days, date, candidates,
-                       {day: entry.rows for day, entry in known.items()})
-    plan = plan_repair(report, layout)
-    before = dict(known)
-    known.update({day: Known(files[day], row["actual_rows"]) for row in plan.report
-                  if (day := row[date]) in files and day not in known})
-
-    # Scans that may overlap share the connections of a table read by date.
-    scans = 4 if settings.reread_daily else 3
-
-    def to_merge(dates: DateSet) -> DataFrame:
-        again = _of_dates(spark, feeds.daily, dates, scans) if settings.reread_daily else None
-        return incoming_rows(again, _of_dates(spark, feeds.late, dates, scans))
-
-    recorded = make_date_set(date, (d for d in plan.merge.dates if d in known and known[d].merged))
-    if recorded:
-        # Read and folded to a line per date; nothing is written or compared for settled dates.
-        now = _digests(to_merge(recorded), date)
-        settled = {d for d in recorded.dates if now.get(d) == known[d].merged}
-        plan = replace(plan, merge=make_date_set(date, set(plan.merge.dates) - settled))
-    incoming, merged = None, {}
-    if plan.merge:
-        # Compared first and merged then: written once, so the source is not asked again.
-        incoming = staged_rows(to_merge(plan.merge), "incoming")
-        merged = _digests(incoming, date)
-        changed = changed_dates(plan.merge.restrict(lake, date), incoming, layout)
-        asked = plan.merge.dates
-        plan = narrowed(plan, changed, layout)
-        for day in set(asked) - set(plan.merge.dates):
-            known[day] = replace(known[day], merged=merged.get(day))
-    if plan:
-        daily = _of_dates(spark, feeds.daily, plan.load, scans)
-        late = _of_dates(spark, feeds.late, plan.load, scans)
-        loaded = initial_load(daily, late)
-        incoming = loaded.where("1 = 0") if incoming is None else plan.merge.restrict(incoming, date)
-        rows = repaired(plan.merge.restrict(lake, date), incoming, loaded, layout)
-        stage(rows, settings)
-        stored = finish_staged(spark, settings)
-        after = lake_files(read_lake(spark, settings.bronze_path, settings.bronze_schema), layout)
-        known.update({day: Known(after[day], n, merged.get(day)) for day, n in stored.items() if day in after})
-    if known != before:
-        remember_dates(store, known)
-    return plan.report
+    with passing_scratch(spark) as passing, freed_shuffles(spark):
+        layout, date = settings.layout, settings.layout.date
+        as_of, days = settings.as_of, settings.recent_days
+        finish_staged(spark, settings)
+        store = Store(spark, beside(settings.bronze_path, "state"))
+        lake = read_lake(spark, settings.bronze_path, settings.bronze_schema)
+        files = lake_files(lake, layout)
+        known = known_dates(store, files)
+        dated = feeds.late if isinstance(feeds.late, DataFrame) else feeds.late.distinct_dates(spark)
+        candidates = date_set(candidate_dates(dated, as_of, days, date), date)
+        report = reconcile(lake, dated, _whole(spark, feeds.totals), as_of, days, date, candidates,
+                           {day: entry.rows for day, entry in known.items()})
+        plan = plan_repair(report, layout)
+        before = dict(known)
+        known.update({day: Known(files[day], row["actual_rows"]) for row in plan.report
+                      if (day := row[date]) in files and day not in known})
+
+        # Scans that may overlap share the connections of a table read by date.
+        scans = 4 if settings.reread_daily else 3
+
+        def to_merge(dates: DateSet) -> DataFrame:
+            again = _of_dates(spark, feeds.daily, dates, scans) if settings.reread_daily else None
+            return incoming_rows(again, _of_dates(spark, feeds.late, dates, scans))
+
+        recorded = make_date_set(date, (d for d in plan.merge.dates if d in known and known[d].merged))
+        if recorded:
+            # Read and folded to a line per date; nothing is written or compared for settled dates.
+            now = _digests(to_merge(recorded), date)
+            settled = {d for d in recorded.dates if now.get(d) == known[d].merged}
+            plan = replace(plan, merge=make_date_set(date, set(plan.merge.dates) - settled))
+        incoming, merged = None, {}
+        if plan.merge:
+            # Compared first and merged then: written once, so the source is not asked again.
+            incoming = staged_rows(to_merge(plan.merge), "incoming")
+            merged = _digests(incoming, date)
+            changed = changed_dates(plan.merge.restrict(lake, date), incoming, layout)
+            asked = plan.merge.dates
+            plan = narrowed(plan, changed, layout)
+            for day in set(asked) - set(plan.merge.dates):
+                known[day] = replace(known[day], merged=merged.get(day))
+        if plan:
+            daily = _of_dates(spark, feeds.daily, plan.load, scans)
+            late = _of_dates(spark, feeds.late, plan.load, scans)
+            loaded = initial_load(daily, late)
+            incoming = loaded.where("1 = 0") if incoming is None else plan.merge.restrict(incoming, date)
+            rows = repaired(plan.merge.restrict(lake, date), incoming, loaded, layout)
+            stage(rows, settings)
+            discard(spark, passing)
+            stored = finish_staged(spark, settings)
+            after = lake_files(read_lake(spark, settings.bronze_path, settings.bronze_schema), layout)
+            known.update({day: Known(after[day], n, merged.get(day)) for day, n in stored.items() if day in after})
+        if known != before:
+            remember_dates(store, known)
+        return plan.report
 
 
 def staged_rows(rows: DataFrame, name: str) -> DataFrame:
     """Rows written to the scratch folder and read back."""
     path = scratch_path(rows.sparkSession, name)
-    rows.write.parquet(path)
+    with freed_shuffles(rows.sparkSession):
+        rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
@@ -210,12 +213,14 @@ def stage(rows: DataFrame, settings: Settings) -> str:
 
     Replacing folders deletes before it renames. A driver that dies in between leaves the copy,
     from which the next run, in any session, completes the lake. The manifest that names the
-    copy's files is written last: a copy without one was never finished and is not used.
+    copy's files is written last: a copy without one was never finished and is not used. Rows of
+    a date are brought together when the copy is written to the lake, not before.
     """
     spark, root = rows.sparkSession, beside(settings.bronze_path, "repairs")
     name = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
     path = f"{root}/{name}"
-    cluster_for_write(rows, settings.layout.columns).write.parquet(path)
+    with freed_shuffles(spark):
+        rows.write.parquet(path)
     store = Store(spark, root)
     copied = [n for n in store.names(name) if n.endswith(".parquet")]
     store.create(f"{name}.json", {"files": copied})

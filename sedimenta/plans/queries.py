@@ -15,7 +15,7 @@ from sedimenta.operators import merge, reconcile, rollup, star
 from sedimenta.plans import feed
 from sedimenta.plans.layers import Feeds, Settings, read_silver, run_layers
 from sedimenta.plans.oracles import RUN_CONTENTS
-from sedimenta.session import scratch_path
+from sedimenta.session import passing_scratch, scratch_path
 from sedimenta.sinks import tables
 from sedimenta.sinks.delimited import write_delimited
 from sedimenta.sinks.partitions import write_partitions
@@ -239,10 +239,11 @@ def layered_run(spark, sf_dir):
         as_of=feed.AS_OF,
         run_ts=RUN_TS,
     )
-    lines = feed.stored_feed(spark, sf_dir)
-    write_partitions(feed.lake(lines), settings.bronze_path, P.LAYOUT.columns)
-    feeds = Feeds(feed.daily_source(lines), feed.late_source(lines), feed.totals(lines))
-    result = run_layers(spark, feeds, settings)
+    with passing_scratch(spark):
+        lines = feed.stored_feed(spark, sf_dir)
+        write_partitions(feed.lake(lines), settings.bronze_path, P.LAYOUT.columns)
+        feeds = Feeds(feed.daily_source(lines), feed.late_source(lines), feed.totals(lines))
+        result = run_layers(spark, feeds, settings)
     failed = [d for d in result.dimensions if not d.ok]
     if failed:
         raise RuntimeError("; ".join(f"{d.table}: {d.error}" for d in failed))

@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from sedimenta import purchases as P
 from sedimenta.operators.numbering import dense_ids
 from sedimenta.operators.star import build_fact
+from sedimenta.plans.feed import LAKE_SCHEMA
+from sedimenta.plans.layers import Feeds, refresh_bronze, run_layers
 from sedimenta.plans.queries import scratch_database
 from sedimenta.session import FREE_SHUFFLES, freed_shuffles, passing_scratch, scratch_path
 from sedimenta.sinks import tables as S
 from sedimenta.sinks.partitions import write_partitions
-from tests.test_publish import silver
-from tests.fixtures import row
+from sedimenta.sources.lake import read_lake
+from tests.fixtures import TOTALS_SCHEMA, row, source
+from tests.test_publish import layers, silver
 
 RUN_TS = dt.datetime(2001, 8, 15, 3, 0)
 
@@ -106,3 +109,19 @@ def test_fact_is_worked_out_once_and_leaves_its_table(spark, left, shuffled):
     assert made.value == 2 * 200
     assert left() == ["t"] and shuffled() == set()
     assert sorted(r[0] for r in spark.table(table).select("fact_id").collect()) == list(range(1, 201))
+
+
+def test_layers_leave_lakes_and_tables_only(spark, tmp_path, left, shuffled):
+    """Dates are loaded at first, and merged and loaded then."""
+    feeds, settings = layers(spark, tmp_path, scratch_database(spark, "t"))
+    refresh_bronze(spark, feeds, settings)
+    more = [row(src_order=40, proc_date=dt.date(2001, 8, 9)), row(src_order=41, proc_date=dt.date(2001, 8, 1))]
+    totals = spark.createDataFrame([(dt.date(2001, 8, 9), 1), (dt.date(2001, 8, 1), 1)], TOTALS_SCHEMA)
+    feeds = Feeds(feeds.daily, feeds.late.unionByName(source(spark, more)), feeds.totals.unionByName(totals))
+    refresh_bronze(spark, feeds, settings)
+    assert left() == ["t"] and shuffled() == set()
+    stored = read_lake(spark, settings.bronze_path, LAKE_SCHEMA)
+    assert sorted(r.src_order for r in stored.collect()) == [9, 10, 11, 12, 13, 14, 20, 21, 40, 41]
+    result = run_layers(spark, feeds, settings)
+    assert result.fact.rows == 1 and all(d.ok for d in result.dimensions)
+    assert left() == ["t"]
