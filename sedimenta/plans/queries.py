@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from sedimenta import purchases as P
 from sedimenta.operators import merge, reconcile, rollup, star
 from sedimenta.plans import feed
-from sedimenta.plans.layers import Feeds, Settings, read_silver, run_layers
+from sedimenta.plans.layers import Feeds, Settings, read_silver, run_layers, staged_rows
 from sedimenta.plans.oracles import RUN_CONTENTS
-from sedimenta.session import passing_scratch, scratch_path
+from sedimenta.session import freed_shuffles, passing_scratch, scratch_path
 from sedimenta.sinks import tables
 from sedimenta.sinks.delimited import write_delimited
 from sedimenta.sinks.partitions import write_partitions
@@ -139,16 +139,19 @@ def repair_reread_daily(spark, sf_dir):
 
 def repair_again(spark, sf_dir):
     """The dates that still diverge after a repair, and whether they would be written again."""
-    lines = feed.stored_feed(spark, sf_dir)
-    late = feed.late_source(lines)
-    plan = merge.plan_repair(_report(lines))
-    fixed = merge.repair(feed.lake(lines), feed.daily_source(lines), late, plan)
-    path = scratch_path(spark, "bronze")
-    write_partitions(feed.lake(lines), path, P.LAYOUT.columns)
-    fixed = fixed.select(*read_lake(spark, path, feed.LAKE_SCHEMA).columns)
-    write_partitions(fixed, path, P.LAYOUT.columns)
-    stored = read_lake(spark, path, feed.LAKE_SCHEMA)
-    again = merge.plan_repair(reconcile.reconcile(stored, late, feed.totals(lines), feed.AS_OF))
+    with freed_shuffles(spark):
+        lines = feed.stored_feed(spark, sf_dir)
+        late = feed.late_source(lines)
+        plan = merge.plan_repair(_report(lines))
+        fixed = merge.repair(feed.lake(lines), feed.daily_source(lines), late, plan)
+        path = scratch_path(spark, "bronze")
+        write_partitions(feed.lake(lines), path, P.LAYOUT.columns)
+        fixed = fixed.select(*read_lake(spark, path, feed.LAKE_SCHEMA).columns)
+        with passing_scratch(spark):
+            # Merged and then brought together by date: the shuffle files of only one of the two exist at a time.
+            write_partitions(staged_rows(fixed, "repaired"), path, P.LAYOUT.columns)
+        stored = read_lake(spark, path, feed.LAKE_SCHEMA)
+        again = merge.plan_repair(reconcile.reconcile(stored, late, feed.totals(lines), feed.AS_OF))
     date = P.LAYOUT.date
     incoming = merge.incoming_rows(None, again.merge.restrict(late, date))
     return merge.changed_dates(again.merge.restrict(stored, date), incoming)
